@@ -14,7 +14,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def heavy_keys(df: DataFrame, on: list[str], share: int = HEAVY_SHARE) -> DataFrame:

@@ -59,11 +59,13 @@ def with_dimension_keys(
     stored_users: DataFrame | None = None,
     stored_products: DataFrame | None = None,
 ) -> DataFrame:
-    """Surrogate keys of the versions valid at the time of the event."""
-    if users is not None:
-        fact = as_of_lookup(fact, users, ["user_id"], "event_time", ["user_key"], stored_users)
-    if products is not None:
-        fact = as_of_lookup(fact, products, ["product_id"], "event_time", ["product_key"], stored_products)
+    """Surrogate keys of the versions valid at the time of the event; null without dimension."""
+    sides = (("user", users, stored_users), ("product", products, stored_products))
+    for name, dim, stored in sides:
+        if dim is None:
+            fact = fact.withColumn(f"{name}_key", F.lit(None).cast("bigint"))
+        else:
+            fact = as_of_lookup(fact, dim, [f"{name}_id"], "event_time", [f"{name}_key"], stored)
     return fact
 
 

@@ -18,6 +18,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, so that a stream may start on it before its first file arrives."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A partitioned dataset, or an empty frame if nothing was written yet.
 

@@ -18,7 +18,7 @@ from basketry.config import Settings
 from basketry.functions.parse import of_type, parse_events
 from basketry.plans import cdc, kpi
 from basketry.session import streaming_session
-from basketry.sources.files import stream_dataset
+from basketry.sources.files import ensure_folder, stream_dataset
 from basketry.sources.kafka import read_cdc, read_topics
 from basketry.streaming.bronze import append_stream
 from basketry.streaming.upsert_log import upsert_stream
@@ -93,7 +93,9 @@ def start_all(spark: SparkSession, settings: Settings, starting_offsets: str) ->
         )
     for name, metric in METRICS.items():
         if settings.kpi_source == "bronze":
-            events = stream_dataset(session, settings.bronze(metric.topic), schemas.bronze(metric.topic))
+            folder = settings.bronze(metric.topic)
+            ensure_folder(session, folder)
+            events = stream_dataset(session, folder, schemas.bronze(metric.topic))
         else:
             events = parsed[metric.topic]
         queries.append(

@@ -20,9 +20,6 @@ from basketry.functions.parse import parse_events
 from basketry.functions.scalars import stock_after
 from basketry import schemas
 
-EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
 REASONS = ("defective", "wrong_item", "changed_mind", "late_delivery")
 
 
@@ -31,14 +28,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table as a stream; the pattern lets the table be one file or a folder of files."""
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf}/{{{name}}}.parquet")
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     """Events with a zoned event_time and the number k of their properties."""
     return _timed(table(spark, sf, "events"))
 
 
 def events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    raw = spark.readStream.schema(EVENTS).option("pathGlobFilter", "*").parquet(f"{sf}/events.parquet")
-    return _timed(raw)
+    return _timed(table_stream(spark, sf, "events"))
 
 
 def _timed(raw: DataFrame) -> DataFrame:
@@ -46,8 +48,9 @@ def _timed(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_time", F.col("ts").cast("timestamp")).withColumn("k", k)
 
 
-def _id(prefix: str, c="event_id") -> Column:
-    return F.concat(F.lit(prefix), F.col(c).cast("string"))
+def _id(prefix: str, number: Column | None = None) -> Column:
+    number = F.col("event_id") if number is None else number
+    return F.concat(F.lit(prefix), number.cast("string"))
 
 
 def _sku() -> Column:
@@ -88,7 +91,8 @@ def payments(ev: DataFrame) -> DataFrame:
     failed = F.col("event_type") == "error"
     return ev.filter(F.col("event_type").isin("purchase", "error")).select(
         _id("p").alias("payment_id"),
-        _id("o").alias("order_id"),
+        # A failed attempt belongs to the event before it, which may be an order.
+        _id("o", F.col("event_id") - failed.cast("int")).alias("order_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("value").alias("amount"),
         F.concat(F.lit("method "), (F.col("k") % 5).cast("string")).alias("payment_method"),
@@ -170,7 +174,7 @@ def order_events(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.col("p_retailprice").alias("unit_price"),
         _line_amount().alias("total_amount"),
         F.col("n_name").alias("country"),
         F.concat(F.lit(" "), "o_orderstatus").alias("order_status"),
