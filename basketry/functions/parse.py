@@ -9,33 +9,37 @@ from basketry.functions.dates import with_date_parts
 
 
 def _decoded(records: DataFrame, schema: StructType) -> DataFrame:
+    # inline makes the parsed fields rows of a generator, below which no filter is pushed;
+    # else the text would be parsed once for the filter and once more for the fields.
     text = F.col("value").cast("string")
-    out = records.select(
-        F.from_json(text, schema).alias("data"), text.alias("value"), "topic", "partition", "offset"
+    fields = records.withColumn("value", text).select(
+        F.inline(F.array(F.from_json("value", schema))), "value", "topic", "partition", "offset"
     )
     # try_: a bad timestamp must give null and not end the query (ANSI mode is on).
-    return out.withColumn("event_time", F.try_to_timestamp("data.timestamp"))
+    return fields.withColumn("event_time", F.try_to_timestamp("timestamp"))
 
 
 def parse_events(records: DataFrame, schema: StructType) -> DataFrame:
     """Events with a usable timestamp: contract fields, raw text, position, date parts."""
-    parsed = _decoded(records, schema).filter(F.col("event_time").isNotNull())
-    return with_date_parts(
-        parsed.select("data.*", "value", "topic", "partition", "offset", "event_time"), "event_time"
-    )
+    parsed = _decoded(_position_of(records), schema).filter(F.col("event_time").isNotNull())
+    return with_date_parts(parsed, "event_time")
 
 
 def dead_letters(records: DataFrame, schema: StructType) -> DataFrame:
     """The records that parse_events leaves out, with the reason."""
-    bad = _decoded(records, schema).filter(F.col("event_time").isNull())
+    bad = _decoded(_position_of(records), schema).filter(F.col("event_time").isNull())
     reason = (
         F.when(F.col("value").isNull(), "empty")
-        .when(F.col("data.timestamp").isNull(), "no timestamp")
+        .when(F.col("timestamp").isNull(), "no timestamp")
         .otherwise("bad timestamp")
     )
     return bad.select("value", "topic", "partition", "offset", reason.alias("reason"))
 
 
+def _position_of(records: DataFrame) -> DataFrame:
+    return records.select("value", "topic", "partition", "offset")
+
+
 def of_type(events: DataFrame, event_type: str) -> DataFrame:
     """One kind of event of a topic that carries several."""
     return events.filter(F.col("event_type") == event_type)

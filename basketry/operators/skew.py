@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+# Spark's own default limit for a broadcast side, in bytes.
+BROADCAST_BYTES = 10 * 1024 * 1024
 HEAVY_SHARE = 1000
-SALTS = 64
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -17,11 +19,61 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def heavy_keys(df: DataFrame, on: list[str], share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys holding more than 1/share of the rows: fewer than `share` of them can exist."""
+def fits_broadcast(df: DataFrame) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= BROADCAST_BYTES
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
+    """Keys holding more than 1/share of the rows, with the number of parts to cut each into.
+
+    There are fewer than `share` such keys, whatever the data. A key gets as many parts as
+    its rows would fill shuffle partitions, so all keys together get no more parts than there
+    are partitions (plus one per key).
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") * share > total).select(*on)
+    parts = F.ceil(F.col("_n") * partitions / total).cast("int")
+    return counts.filter(F.col("_n") * share > total).select(*on, parts.alias("_parts"))
+
+
+def _with_parts(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add the part count of the key; null for all but heavy keys. A null key is a key too."""
+    side = heavy.withColumnsRenamed({c: f"_h_{c}" for c in on})
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    # heavy_keys returns fewer than HEAVY_SHARE rows, so it may be broadcast.
+    return df.join(F.broadcast(side), match, "left").drop(*[f"_h_{c}" for c in on])
+
+
+def spread(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add _part: rows of a heavy key go to its parts in turn, all others to part 0."""
+    # The part depends on the row and its partition only, so a retried task repeats it; the
+    # partition sets copies of the same row apart.
+    row = F.xxhash64(*df.columns) + F.spark_partition_id()
+    part = F.coalesce(F.pmod(row, F.col("_parts")).cast("int"), F.lit(0))
+    return _with_parts(df, heavy, on).withColumn("_part", part).drop("_parts")
+
+
+def repeat(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add _part: each row of a heavy key once per part of the key, all others once."""
+    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    return _with_parts(df, heavy, on).withColumn("_part", F.explode(parts)).drop("_parts")
+
+
+def split_heavy(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys and the rows of the heavy keys.
+
+    With no heavy key the second frame is found empty while the query runs, and its part of
+    the plan is dropped.
+    """
+    side = F.broadcast(heavy.select(*[F.col(c).alias(f"_h_{c}") for c in on]))
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    return df.join(side, match, "left_anti"), df.join(side, match, "left_semi")
 
 
 def skew_join(
@@ -30,33 +82,18 @@ def skew_join(
     on: list[str],
     how: str = "inner",
     residual: Column | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join a skewed left side to a right side that has few rows per key.
+    """Join a skewed left side to a right side that has one row, or few, per key.
 
-    Rows of heavy keys are spread over `salts` groups and the matching right rows are
-    repeated for each; all other keys join as they are. The result is the plain join.
+    Rows of heavy keys are spread over parts and the matching right rows repeated for each;
+    all other keys join as they are. The result is that of the plain join.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"cannot salt a {how} join")
-    # Broadcast is safe: heavy_keys returns fewer than HEAVY_SHARE rows.
-    heavy = F.broadcast(heavy_keys(left, on).withColumn("_heavy", F.lit(True)))
-    no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | F.col(c).isNull()
-    # The salt depends on the row and its partition only, so a retried task repeats it.
-    salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    # Rows without a key match nothing, so they may be spread at will.
-    spread = (
-        left.join(heavy, on, "left")
-        .withColumn("_salt", F.when(F.col("_heavy") | no_key, salt).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = (
-        right.join(heavy, on, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
-    )
-    return _join(spread, repeated, [*on, "_salt"], how, residual).drop("_salt")
+        raise ValueError(f"cannot cut up a {how} join")
+    heavy = heavy_keys(left, on)
+    return _join(
+        spread(left, heavy, on), repeat(right, heavy, on), [*on, "_part"], how, residual
+    ).drop("_part")
 
 
 def lookup_join(
@@ -64,18 +101,16 @@ def lookup_join(
     dim: DataFrame,
     on: list[str],
     how: str = "left",
-    residual: Column | None = None,
     stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Join facts to a dimension: by broadcast if its size allows, else by a salted shuffle.
+    """Join facts to a dimension: by broadcast if its size allows, else by skew_join.
 
-    `stored` names the table whose rows the dimension holds one for one, when the
-    dimension is derived and its own estimate says little.
+    `stored` names the table whose rows the dimension holds one for one, when the dimension
+    is derived and its own estimate says little.
     """
-    size = estimated_bytes(stored if stored is not None else dim)
-    if size is not None and size <= BROADCAST_BYTES:
-        return _join(fact, F.broadcast(dim), on, how, residual)
-    return skew_join(fact, dim, on, how, residual)
+    if fits_broadcast(stored if stored is not None else dim):
+        return fact.join(F.broadcast(dim), on, how)
+    return skew_join(fact, dim, on, how)
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, residual: Column | None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Version histories: neighbours in time, slowly changing dimensions, as-of lookup."""
+"""Version histories: slowly changing dimensions and the lookup of the version valid at a time."""
 
 from __future__ import annotations
 
@@ -7,43 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.operators.ranking import top_k_per_group
-from basketry.operators.skew import lookup_join
+from basketry.operators.skew import fits_broadcast, heavy_keys, repeat, split_heavy, spread
 
 DAY = 86_400
 
 
-def with_neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    value: Column,
-    name: str,
-    forward: bool,
-    slot_seconds: int = DAY,
-) -> DataFrame:
-    """Add `value` of the next (or previous) row of the same key; (key, time) must be unique.
-
-    A plain lead/lag would sort all rows of a key in one task. Here rows are cut into time
-    slots: neighbours inside a slot come from a window over (key, slot), and only the
-    outermost row of each slot looks across, through a table of one row per (key, slot).
-    """
-    order = F.col(time).asc() if forward else F.col(time).desc()
-    slotted = df.withColumn("_slot", F.floor(F.unix_micros(time) / F.lit(slot_seconds * 1_000_000)))
-    slotted = slotted.withColumn("_value", F.struct(value.alias("v")))
-    inside = Window.partitionBy(*keys, "_slot").orderBy(order)
-    here = slotted.withColumn("_inside", F.lead("_value").over(inside))
-
-    pick = F.min_by if forward else F.max_by
-    edges = slotted.groupBy(*keys, "_slot").agg(pick("_value", time).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy(F.col("_slot").asc() if forward else F.col("_slot").desc())
-    edges = edges.withColumn("_across", F.lead("_edge").over(across)).drop("_edge")
-    return (
-        here.join(edges, [*keys, "_slot"], "left")
-        .withColumn(name, F.coalesce("_inside", "_across")["v"])
-        .drop("_slot", "_value", "_inside", "_across")
-    )
-
-
 def scd2(
     changes: DataFrame,
     keys: Sequence[str],
@@ -51,6 +19,7 @@ def scd2(
     attributes: Sequence[str],
     tie_break: Sequence[str] = (),
     deleted: str = "is_deleted",
+    heavy_by: Sequence[str] | None = None,
     slot_seconds: int = DAY,
 ) -> DataFrame:
     """Change rows to versions: attributes, effective_from, effective_to, is_current.
@@ -58,37 +27,117 @@ def scd2(
     Of several changes of a key at the same instant the last by `tie_break` counts. A change
     that alters no attribute opens no version. A delete closes the open version; a later
     change opens a new one.
+
+    All steps look at neighbours in time, over one shuffle by key. A heavy key would be too
+    much for one task, so its rows are cut into time slots, and what a slot must know of the
+    slots around it comes from a table of one row per slot. `heavy_by` names columns that tell
+    the keys apart, if they are cheaper to count than the keys.
     """
-    rows = changes.select(*keys, time, deleted, *attributes, *tie_break)
-    ties = [F.col(c).desc_nulls_last() for c in [*tie_break, deleted, *attributes]]
-    one = top_k_per_group(rows, [*keys, time], ties, 1, "_rn").select(*keys, time, deleted, *attributes)
+    by = list(heavy_by or keys)
+    extra = [c for c in by if c not in keys]
+    ties = [*tie_break, deleted, *attributes]
+    columns = [*keys, time, *dict.fromkeys(ties)]
+    heavy = heavy_keys(changes, by)
+    light, hot = split_heavy(changes.select(*columns, *extra), heavy, by)
+    # Copies of a heavy key at one instant are dropped where they are read.
+    hot = top_k_per_group(
+        hot.select(*columns), [*keys, time], [F.col(c).desc_nulls_last() for c in ties], 1, "_rn"
+    ).drop("_rn")
+    slot = F.floor(F.unix_micros(time) / F.lit(slot_seconds * 1_000_000))
+    group = [*keys, "_hot", "_slot"]
+    hot = hot.withColumn("_hot", F.lit(True)).withColumn("_slot", slot)
+    light = light.select(*columns).withColumn("_hot", F.lit(False)).withColumn("_slot", F.lit(0).cast("bigint"))
+    rows = light.unionByName(hot)
+
+    in_order = [F.col(c).asc_nulls_first() for c in (time, *ties)]
+    inside = Window.partitionBy(*group).orderBy(*in_order)
+    following = F.lead(time).over(inside)
+    last_of_instant = rows.withColumn("_next", following).filter(
+        F.col("_next").isNull() | (F.col("_next") != F.col(time))
+    ).drop("_next")
 
     state = F.struct(F.col(deleted), *[F.col(c) for c in attributes])
-    seen = with_neighbour(one, keys, time, state, "_before", False, slot_seconds)
-    gone_before = F.col("_before").isNull() | F.col(f"_before.{deleted}")
+    before = _neighbour(last_of_instant, hot, keys, group, time, in_order, state, forward=False)
+    gone_before = F.col("_seen").isNull() | F.col(f"_seen.{deleted}")
     same = F.lit(True)
     for c in attributes:
-        same = same & F.col(c).eqNullSafe(F.col(f"_before.{c}"))
+        same = same & F.col(c).eqNullSafe(F.col(f"_seen.{c}"))
     changed = F.when(F.col(deleted), ~gone_before).otherwise(gone_before | ~same)
-    kept = seen.filter(changed).drop("_before")
+    kept = before.filter(changed).drop("_seen")
 
-    closed = with_neighbour(kept, keys, time, F.col(time), "effective_to", True, slot_seconds)
+    hot_kept = kept.filter("_hot")
+    closed = _neighbour(kept, hot_kept, keys, group, time, in_order, F.col(time), forward=True)
     return closed.filter(~F.col(deleted)).select(
         *keys,
         *attributes,
         F.col(time).alias("effective_from"),
-        "effective_to",
-        F.col("effective_to").isNull().alias("is_current"),
+        F.col("_seen").alias("effective_to"),
+        F.col("_seen").isNull().alias("is_current"),
     )
 
 
+def _neighbour(
+    rows: DataFrame, hot: DataFrame, keys: Sequence[str], group: list[str], time: str,
+    in_order: list[Column], value: Column, forward: bool,
+) -> DataFrame:
+    """Add _seen: `value` of the next or previous row of the key; `hot` are the slotted rows."""
+    shift, pick = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
+    # The same sort serves every step, whichever way it looks.
+    inside = Window.partitionBy(*group).orderBy(*in_order)
+    here = rows.withColumn("_inside", shift(F.struct(value.alias("v"))).over(inside))
+    edges = hot.groupBy(*group).agg(pick(F.struct(value.alias("v")), F.col(time)).alias("_edge"))
+    across = Window.partitionBy(*keys, "_hot").orderBy("_slot")
+    edges = edges.withColumn("_across", shift("_edge").over(across)).drop("_edge")
+    joined = here.join(edges, group, "left")
+    return joined.withColumn("_seen", F.coalesce("_inside", "_across")["v"]).drop("_inside", "_across")
+
+
 def as_of_lookup(
     fact: DataFrame, dim: DataFrame, on: list[str], time: str, columns: Sequence[str],
     stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Add columns of the version that was valid at the time of the fact; null if none was."""
+    """Add columns of the version that was valid at the time of the fact; null if none was.
+
+    A dimension small enough is broadcast. Otherwise facts and versions are merged in order of
+    time, one pass per key, so a key with many versions costs no comparison of each with each.
+    """
     versions = dim.select(
         *on, *columns, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
     )
-    valid = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
-    return lookup_join(fact, versions, on, "left", valid, stored).drop("_from", "_to")
+    if fits_broadcast(stored if stored is not None else dim):
+        side = versions.withColumnsRenamed({c: f"_r_{c}" for c in on})
+        valid = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
+        for c in on:
+            valid = valid & (F.col(c) == F.col(f"_r_{c}"))
+        joined = fact.join(F.broadcast(side), valid, "left")
+        return joined.drop("_from", "_to", *[f"_r_{c}" for c in on])
+    return merge_as_of(fact, versions, on, time, columns)
+
+
+def merge_as_of(
+    fact: DataFrame, versions: DataFrame, on: list[str], time: str, columns: Sequence[str]
+) -> DataFrame:
+    """The sorted form of as_of_lookup; versions hold _from and _to and do not overlap.
+
+    Facts of a heavy key are spread over parts and its versions repeated for each.
+    """
+    heavy = heavy_keys(fact, on)
+    given = fact.columns
+    facts = spread(fact, heavy, on).withColumn("_fact", F.struct(*given)).select(
+        *on, "_part", F.col(time).alias("_at"), F.lit(1).alias("_kind"), "_fact",
+    )
+    known = repeat(versions, heavy, on).select(
+        *on, "_part", F.col("_from").alias("_at"), F.lit(0).alias("_kind"),
+        F.struct(*columns, "_to").alias("_version"),
+    )
+    both = facts.unionByName(known, allowMissingColumns=True)
+    # A version counts from its first instant on, so it sorts before a fact at that instant.
+    so_far = (
+        Window.partitionBy(*on, "_part").orderBy("_at", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    seen = both.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far))
+    valid = F.col("_seen._to").isNull() | (F.col("_at") < F.col("_seen._to"))
+    return seen.filter(F.col("_kind") == 1).select(
+        "_fact.*", *[F.when(valid, F.col(f"_seen.{c}")).alias(c) for c in columns]
+    )

@@ -16,27 +16,12 @@ from basketry.operators.versions import scd2
 CHANGE_ORDER = ("kafka_timestamp", "partition", "offset")
 
 
-def operation(payload) -> Column:
-    """c, u, d or r from an envelope; u or d from a bare row; t for a record without value."""
-    payload = F.col(payload) if isinstance(payload, str) else payload
-    bare_delete = F.lower(F.get_json_object(payload, "$.__deleted")) == "true"
-    return (
-        F.when(payload.isNull(), "t")
-        .when(bare_delete, "d")
-        .otherwise(F.coalesce(F.get_json_object(payload, "$.op"), F.lit("u")))
-    )
-
-
-def row_image(payload) -> Column:
-    """The row as JSON: after the change, before a delete, or the bare payload itself."""
-    payload = F.col(payload) if isinstance(payload, str) else payload
-    return F.coalesce(
-        F.get_json_object(payload, "$.after"), F.get_json_object(payload, "$.before"), payload
-    )
-
-
 def silver(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Raw change records with table, operation and the date of processing."""
+    """Raw change records with table, operation and the date of processing.
+
+    operation is c, u, d or r from an envelope, u or d from a bare row, t for a record
+    without a value.
+    """
     out = records.select(
         F.col("topic").alias("cdc_topic"),
         F.col("key").cast("string").alias("record_key"),
@@ -47,17 +32,33 @@ def silver(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
         (F.current_timestamp() if processed_at is None else processed_at).alias("processed_at"),
         table_of_topic("topic").alias("table_name"),
     )
-    return with_date_parts(out.withColumn("operation", operation("payload")), "processed_at")
+    # One look at the text gives both marks.
+    marked = out.select("*", F.json_tuple("payload", "op", "__deleted").alias("_op", "_deleted"))
+    operation = (
+        F.when(F.col("payload").isNull(), "t")
+        .when(F.lower("_deleted") == "true", "d")
+        .otherwise(F.coalesce("_op", F.lit("u")))
+    )
+    return with_date_parts(marked.withColumn("operation", operation).drop("_op", "_deleted"), "processed_at")
 
 
 def changes(silver_rows: DataFrame, table: str, schema: StructType) -> DataFrame:
-    """Typed change rows of one table; tombstones carry no row and are left out."""
-    rows = silver_rows.filter((F.col("table_name") == table) & (F.col("operation") != "t"))
-    return rows.select(
-        F.from_json(row_image("payload"), schema).alias("row"),
+    """Typed change rows of one table; tombstones carry no row and are left out.
+
+    The row is that after the change, else that before it, else the bare payload: one schema
+    covers all three, so each text is parsed once.
+    """
+    envelope = StructType(list(schema.fields)).add("after", schema).add("before", schema)
+    rows = silver_rows.filter((F.col("table_name") == table) & F.col("payload").isNotNull())
+    parsed = rows.select(
+        F.from_json("payload", envelope).alias("e"),
+        "record_key",
         (F.col("operation") == "d").alias("is_deleted"),
         *CHANGE_ORDER,
-    ).select("row.*", "is_deleted", *CHANGE_ORDER)
+    )
+    bare = F.struct(*[F.col(f"e.{c}").alias(c) for c in schema.fieldNames()])
+    row = F.coalesce("e.after", "e.before", bare)
+    return parsed.select(F.inline(F.array(row)), "record_key", "is_deleted", *CHANGE_ORDER)
 
 
 def current_state(
@@ -73,5 +74,6 @@ def history(
 ) -> DataFrame:
     """All versions of the rows of a table, with the time span each was valid."""
     return scd2(
-        changes(silver_rows, table, schema), keys, "kafka_timestamp", attributes, ("partition", "offset")
+        changes(silver_rows, table, schema), keys, "kafka_timestamp", attributes,
+        ("partition", "offset"), heavy_by=["record_key"],
     )

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from basketry.operators.skew import estimated_bytes
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or a small folder exists; not for whole datasets, which it would list."""
@@ -37,6 +39,19 @@ def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+def split_for_cores(df: DataFrame, at_least: int = 1 << 20, at_most: int = 1 << 28) -> DataFrame:
+    """Re-split a small table that comes as fewer pieces than there are cores.
+
+    A file with one row group is read by one task, and all work on its rows would stay there.
+    Tables of many files are left as they are.
+    """
+    size = estimated_bytes(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size is None or not at_least <= size <= at_most or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def stream_dataset(
     spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -462,7 +462,7 @@ def wh_daily_summary_upsert(spark, sf):
 def _versions(spark, sf):
     return scd2(
         tv.product_changes(spark, sf), ["product_id"], "changed_at", ["rate", "status"],
-        ("change_id", "change_line"), slot_seconds=90 * 86_400,
+        ("change_id", "change_line"),
     )
 
 
@@ -497,7 +497,9 @@ def cdc_silver(spark, sf):
     append_stream(rows, f"{root}/cdc", f"{root}/checkpoint", parts).awaitTermination()
     return spark.read.schema(schemas.CDC_SILVER).parquet(f"{root}/cdc").select(
         "cdc_topic", "record_key", "kafka_timestamp", "offset", "operation", "table_name",
-        F.get_json_object(cdc.row_image("payload"), "$.order_status").alias("order_status"),
+        F.coalesce(
+            F.get_json_object("payload", "$.after.order_status"), F.get_json_object("payload", "$.order_status")
+        ).alias("order_status"),
     )
 
 

@@ -16,21 +16,23 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from basketry import schemas
 from basketry.functions.parse import parse_events
 from basketry.functions.scalars import stock_after
-from basketry import schemas
+from basketry.operators.skew import lookup_join
+from basketry.sources.files import split_for_cores
 
 REASONS = ("defective", "wrong_item", "changed_mind", "late_delivery")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return split_for_cores(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream; the pattern lets the table be one file or a folder of files."""
-    schema = table(spark, sf, name).schema
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
     return spark.readStream.schema(schema).parquet(f"{sf}/{{{name}}}.parquet")
 
 
@@ -162,13 +164,14 @@ def _line_amount() -> Column:
 def order_events(spark: SparkSession, sf: str) -> DataFrame:
     """Order grain; (l_orderkey, l_linenumber) repeats, so this table needs cleaning."""
     get = partial(table, spark, sf)
-    # nation has one row per country, orders and customer one row per order and buyer.
-    lines = get("lineitem").join(get("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.join(get("part"), F.col("l_partkey") == F.col("p_partkey"))
-    lines = lines.join(get("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    lines = lines.join(get("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    lines = get("lineitem").withColumnsRenamed({"l_orderkey": "o_orderkey", "l_partkey": "p_partkey"})
+    lines = lookup_join(lines, get("orders").drop("o_totalprice"), ["o_orderkey"], "inner")
+    lines = lookup_join(lines, get("part"), ["p_partkey"], "inner")
+    buyers = get("customer").join(get("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    buyers = buyers.select(F.col("c_custkey").alias("o_custkey"), "n_name")
+    lines = lookup_join(lines, buyers, ["o_custkey"], "inner", stored=get("customer"))
     return lines.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
+        F.concat_ws("-", "o_orderkey", "l_linenumber").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
