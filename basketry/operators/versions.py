@@ -19,7 +19,7 @@ def scd2(
     attributes: Sequence[str],
     tie_break: Sequence[str] = (),
     deleted: str = "is_deleted",
-    heavy_by: Sequence[str] | None = None,
+    heavy: DataFrame | None = None,
     slot_seconds: int = DAY,
 ) -> DataFrame:
     """Change rows to versions: attributes, effective_from, effective_to, is_current.
@@ -30,14 +30,14 @@ def scd2(
 
     All steps look at neighbours in time, over one shuffle by key. A heavy key would be too
     much for one task, so its rows are cut into time slots, and what a slot must know of the
-    slots around it comes from a table of one row per slot. `heavy_by` names columns that tell
-    the keys apart, if they are cheaper to count than the keys.
+    slots around it comes from a table of one row per slot. `heavy` may give the heavy keys, by
+    any columns of the changes that tell the keys apart, if those are cheaper to count.
     """
-    by = list(heavy_by or keys)
+    heavy = heavy_keys(changes, keys) if heavy is None else heavy
+    by = [c for c in heavy.columns if c != "_parts"]
     extra = [c for c in by if c not in keys]
     ties = [*tie_break, deleted, *attributes]
     columns = [*keys, time, *dict.fromkeys(ties)]
-    heavy = heavy_keys(changes, by)
     light, hot = split_heavy(changes.select(*columns, *extra), heavy, by)
     # Copies of a heavy key at one instant are dropped where they are read.
     hot = top_k_per_group(

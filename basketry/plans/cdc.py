@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from basketry.functions.dates import with_date_parts
 from basketry.functions.scalars import table_of_topic
 from basketry.operators.ranking import latest_per_key
+from basketry.operators.skew import heavy_keys
 from basketry.operators.versions import scd2
 
 # Changes of one key sit in one partition, so these columns order them fully.
@@ -42,6 +43,10 @@ def silver(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
     return with_date_parts(marked.withColumn("operation", operation).drop("_op", "_deleted"), "processed_at")
 
 
+def _rows_of(silver_rows: DataFrame, table: str) -> DataFrame:
+    return silver_rows.filter((F.col("table_name") == table) & F.col("payload").isNotNull())
+
+
 def changes(silver_rows: DataFrame, table: str, schema: StructType) -> DataFrame:
     """Typed change rows of one table; tombstones carry no row and are left out.
 
@@ -49,8 +54,7 @@ def changes(silver_rows: DataFrame, table: str, schema: StructType) -> DataFrame
     covers all three, so each text is parsed once.
     """
     envelope = StructType(list(schema.fields)).add("after", schema).add("before", schema)
-    rows = silver_rows.filter((F.col("table_name") == table) & F.col("payload").isNotNull())
-    parsed = rows.select(
+    parsed = _rows_of(silver_rows, table).select(
         F.from_json("payload", envelope).alias("e"),
         "record_key",
         (F.col("operation") == "d").alias("is_deleted"),
@@ -72,8 +76,12 @@ def current_state(
 def history(
     silver_rows: DataFrame, table: str, schema: StructType, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
-    """All versions of the rows of a table, with the time span each was valid."""
+    """All versions of the rows of a table, with the time span each was valid.
+
+    Heavy keys are counted by the record key, for which no payload has to be parsed.
+    """
+    heavy = heavy_keys(_rows_of(silver_rows, table), ["record_key"])
     return scd2(
         changes(silver_rows, table, schema), keys, "kafka_timestamp", attributes,
-        ("partition", "offset"), heavy_by=["record_key"],
+        ("partition", "offset"), heavy=heavy,
     )

@@ -21,6 +21,7 @@ def session_options(settings: Settings) -> dict[str, str]:
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if settings.lake_mode != "local":
         opts["spark.hadoop.fs.s3a.impl"] = "org.apache.hadoop.fs.s3a.S3AFileSystem"
@@ -59,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local session may go without that setting; it then gets a temporary folder.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -43,13 +43,14 @@ def split_for_cores(df: DataFrame, at_least: int = 1 << 20, at_most: int = 1 <<
     """Re-split a small table that comes as fewer pieces than there are cores.
 
     A file with one row group is read by one task, and all work on its rows would stay there.
-    Tables of many files are left as they are.
+    The rows go by their first column, which is even enough below `at_most` bytes. Tables of
+    many files are left as they are.
     """
     size = estimated_bytes(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if size is None or not at_least <= size <= at_most or df.rdd.getNumPartitions() >= cores:
+    if size is None or not at_least <= size <= at_most or len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, df.columns[0])
 
 
 def stream_dataset(

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from basketry.operators.ranking import latest_per_key
-from basketry.sources.files import read_dataset
+from basketry.sources.files import path_exists, read_dataset
 from basketry.streaming.runs import Run, open_run
 
 ORDER = ("upsert_run", "upsert_batch")
+_FOLD = "run int, batch bigint"
 
 
 def _log_schema(schema: StructType) -> StructType:
@@ -68,40 +69,39 @@ def upsert_stream(
 def read_table(
     spark: SparkSession, table: str, schema: StructType, keys: Sequence[str]
 ) -> DataFrame:
-    """The current rows: the folded base and the batches written after it."""
-    root = table.rstrip("/")
-    base = read_dataset(spark, f"{root}/base", _folded(schema))
-    log = read_dataset(spark, f"{root}/log", _log_schema(schema))
-    mark = _last_fold(base)
-    position = F.struct("upsert_run", "upsert_batch")
-    current = base.filter(F.struct("folded_run", "folded_batch") == mark).drop("folded_run", "folded_batch")
-    fresh = log.filter(F.coalesce(position > mark, F.lit(True)))
-    rows = current.unionByName(fresh)
-    return latest_per_key(rows, keys, ORDER).select(*schema.fieldNames())
+    """The current rows: those of the last fold and of the batches written after it."""
+    return latest_per_key(_rows(spark, table, schema), keys, ORDER).select(*schema.fieldNames())
 
 
 def fold(spark: SparkSession, table: str, schema: StructType, keys: Sequence[str], run: int, batch: int) -> None:
-    """Fold the batches up to the given one into a new base; readers see old or new, never half.
+    """Fold the batches up to the given one, so that readers open few files.
 
-    A base folder is named by the batch it reaches. It is complete once Spark commits it, and
-    readers take the highest.
+    A fold has its own folder and counts once its line is in the manifest, which is written
+    last; readers see the state before or after, never half of it.
     """
     root = table.rstrip("/")
-    base = read_dataset(spark, f"{root}/base", _folded(schema))
-    log = read_dataset(spark, f"{root}/log", _log_schema(schema))
-    mark = _last_fold(base)
-    position = F.struct("upsert_run", "upsert_batch")
-    upto = position <= F.struct(F.lit(run), F.lit(batch).cast("bigint"))
-    current = base.filter(F.struct("folded_run", "folded_batch") == mark).drop("folded_run", "folded_batch")
-    fresh = log.filter(upto & F.coalesce(position > mark, F.lit(True)))
-    rows = latest_per_key(current.unionByName(fresh), keys, ORDER)
-    rows.write.mode("overwrite").parquet(f"{root}/base/folded_run={run}/folded_batch={batch}")
-
-
-def _folded(schema: StructType) -> StructType:
-    extra = [StructField("folded_run", IntegerType()), StructField("folded_batch", LongType())]
-    return StructType(_log_schema(schema).fields + extra)
+    upto = ~_after(run, batch)
+    rows = latest_per_key(_rows(spark, table, schema).filter(upto), keys, ORDER)
+    folder = f"{root}/folds/{run}-{batch}"
+    rows.write.mode("overwrite").parquet(folder)
+    done = spark.createDataFrame([(run, batch)], _FOLD)
+    done.coalesce(1).write.mode("append").json(f"{root}/_folds")
 
 
-def _last_fold(base: DataFrame):
-    return base.agg(F.max(F.struct("folded_run", "folded_batch"))).scalar()
+def _rows(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """All rows that may be current, with run and batch."""
+    root = table.rstrip("/")
+    log = read_dataset(spark, f"{root}/log", _log_schema(schema))
+    if not path_exists(spark, f"{root}/_folds"):
+        return log
+    # One line per fold.
+    run, batch = max(tuple(r) for r in spark.read.schema(_FOLD).json(f"{root}/_folds").collect())
+    folded = spark.read.schema(_log_schema(schema)).parquet(f"{root}/folds/{run}-{batch}")
+    return folded.unionByName(log.filter(_after(run, batch)))
+
+
+def _after(run: int, batch: int) -> Column:
+    """Folders written later; both columns are partition columns, so others are not listed."""
+    return (F.col("upsert_run") > run) | (
+        (F.col("upsert_run") == run) & (F.col("upsert_batch") > F.lit(batch).cast("bigint"))
+    )

@@ -22,18 +22,29 @@ from basketry.functions.scalars import stock_after
 from basketry.operators.skew import lookup_join
 from basketry.sources.files import split_for_cores
 
+# Columns of the test tables.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 REASONS = ("defective", "wrong_item", "changed_mind", "late_delivery")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return split_for_cores(spark.read.parquet(f"{sf}/{name}.parquet"))
+    return split_for_cores(spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet"))
 
 
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream; the pattern lets the table be one file or a folder of files."""
-    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{{{name}}}.parquet")
+    return spark.readStream.schema(TABLES[name]).parquet(f"{sf}/{{{name}}}.parquet")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
