@@ -93,11 +93,11 @@ def orders_topic(ev: DataFrame) -> DataFrame:
 
 
 def minute_orders(ev: DataFrame) -> DataFrame:
-    return orders_topic(ev).filter(F.col("event_type") == "order_placed")
+    return orders_topic(ev.filter(F.col("event_type") == "purchase"))
 
 
 def minute_returns(ev: DataFrame) -> DataFrame:
-    return orders_topic(ev).filter(F.col("event_type") == "order_returned")
+    return orders_topic(ev.filter(F.col("event_type") == "signup"))
 
 
 def payments(ev: DataFrame) -> DataFrame:
