@@ -1,4 +1,4 @@
-"""Dense surrogate keys 1, 2, 3, … without passing all rows through one task."""
+"""Surrogate keys without passing all rows through one task."""
 
 from __future__ import annotations
 
@@ -10,28 +10,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def assign_keys(
     df: DataFrame, natural: Sequence[str], key: str, after: int | Column = 0, hex_digits: int = 3
 ) -> DataFrame:
-    """Number the rows by the digest of their natural key, which must be unique.
+    """Number the rows, whose natural key must be unique; all numbers lie above `after`.
 
-    Rows are cut into 16**hex_digits equal buckets by the first digits of the digest. Each
-    bucket is numbered on its own and lifted by the count of the buckets before it. A
-    replay gives the same keys.
+    Rows fall into 16**hex_digits even buckets by the first digits of the digest of their
+    natural key, and bucket b of n hands out b + 1, b + 1 + n, b + 1 + 2n and so on. The buckets
+    need to know nothing of each other, so one pass is enough. The numbers have gaps, as those
+    of a database have. A replay gives the same ones.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in natural])
     hashed = df.withColumn("_digest", F.md5(text)).withColumn(
-        "_bucket", F.substring("_digest", 1, hex_digits)
-    )
-    # At most 16**hex_digits rows: small enough for one task and for a broadcast.
-    before = (
-        hashed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n"))
-        .select("_bucket", "_before")
+        "_bucket", F.conv(F.substring("_digest", 1, hex_digits), 16, 10).cast("int")
     )
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", *natural))
     start = after if isinstance(after, Column) else F.lit(after)
-    numbered = hashed.withColumn("_rank", rank).join(F.broadcast(before), "_bucket")
-    return numbered.select(
-        (start + F.col("_before") + F.col("_rank")).cast("bigint").alias(key), *df.columns
+    number = start + (rank.cast("bigint") - 1) * 16**hex_digits + F.col("_bucket") + 1
+    return hashed.withColumn("_number", number.cast("bigint")).select(
+        F.col("_number").alias(key), *df.columns
     )
 
 
