@@ -14,6 +14,11 @@ def dedup_orders(orders: DataFrame) -> DataFrame:
     return first_per_key(orders, ["order_id"], [F.col("event_time").asc_nulls_last()])
 
 
+def first_payments(payments: DataFrame) -> DataFrame:
+    """One row per payment: the earliest."""
+    return first_per_key(payments, ["payment_id"], [F.col("event_time").asc_nulls_last()])
+
+
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Deduplicated orders with a positive amount, an order date and a tidy status."""
     return (
@@ -47,6 +52,15 @@ def product_performance(clean: DataFrame) -> DataFrame:
     )
 
 
+def session_events(activity: DataFrame, orders: DataFrame) -> DataFrame:
+    """User activity and orders as one stream of events of a user."""
+    visits = activity.select("user_id", "event_time", F.col("activity_type").alias("event_type"))
+    bought = orders.select(
+        "user_id", "event_time", F.lit("purchase").alias("event_type"), F.col("total_amount").alias("value")
+    )
+    return bought.unionByName(visits, allowMissingColumns=True)
+
+
 def session_analytics(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """Per session of a user: length, events, purchases and their value."""
     bought = F.col("event_type") == "purchase"

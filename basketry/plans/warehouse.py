@@ -8,8 +8,9 @@ from basketry import schemas
 from basketry.functions.dates import calendar_columns, date_key, since_minutes
 from basketry.functions.scalars import money, normalized, ratio
 from basketry.operators.keys import assign_keys, last_key
+from basketry.operators.skew import lookup_join
 from basketry.operators.upsert import replace_by_key, rows_to_insert, upsert
-from basketry.operators.versions import as_of_lookup
+from basketry.operators.versions import as_of_lookup, scd2
 
 AGGREGATED = "aggregated"
 FACT_KEY_DIGITS = 4
@@ -26,7 +27,7 @@ def dim_date(dates: DataFrame, date: str, holidays: DataFrame | None = None) ->
     else:
         marked = holidays.select("full_date").distinct().withColumn("is_holiday", F.lit(True))
         out = out.join(marked, "full_date", "left").fillna(False, ["is_holiday"])
-    return _as_table(out, schemas.DIM_DATE)
+    return as_table(out, schemas.DIM_DATE)
 
 
 def seed_dimension(existing: DataFrame, incoming: DataFrame, natural: str, key: str) -> DataFrame:
@@ -35,6 +36,24 @@ def seed_dimension(existing: DataFrame, incoming: DataFrame, natural: str, key:
     return assign_keys(new, [natural], key, last_key(existing, key))
 
 
+def user_versions(orders: DataFrame) -> DataFrame:
+    """Versions of users, from the country and city their orders name."""
+    changes = orders.filter(F.col("user_id").isNotNull()).withColumn("is_deleted", F.lit(False))
+    versions = scd2(changes, ["user_id"], "event_time", ["country", "city"], ["order_id"])
+    first = versions.groupBy("user_id").agg(F.to_date(F.min("effective_from")).alias("first_seen_date"))
+    return lookup_join(versions, first, ["user_id"], "inner").withColumn("is_active", F.lit(True))
+
+
+def product_versions(orders: DataFrame) -> DataFrame:
+    """Versions of products, from the name, category and price their orders name."""
+    priced = orders.filter(F.col("product_id").isNotNull()).withColumns(
+        {"is_deleted": F.lit(False), "unit_price": F.col("unit_price").try_cast("decimal(12,2)")}
+    )
+    attributes = ["product_name", "category", "unit_price"]
+    versions = scd2(priced, ["product_id"], "event_time", attributes, ["order_id"])
+    return versions.withColumns({"sku": F.col("product_id"), "is_active": F.lit(True)})
+
+
 def build_dimension(versions: DataFrame, natural: list[str], key: str) -> DataFrame:
     """Number all versions of a dimension."""
     return assign_keys(versions, natural, key)
@@ -111,7 +130,7 @@ def number_facts(facts: DataFrame, natural: str, key: str, existing: DataFrame |
 def stage_daily_revenue(gold: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Gold rows by name in the types of the staging table."""
     now = F.current_timestamp() if processed_at is None else processed_at
-    return _as_table(gold.withColumn("etl_processed_at", now), schemas.STG_DAILY_REVENUE)
+    return as_table(gold.withColumn("etl_processed_at", now), schemas.STG_DAILY_REVENUE)
 
 
 def aggregate_facts(staged: DataFrame) -> DataFrame:
@@ -167,6 +186,6 @@ def upsert_summary(table: DataFrame, fresh: DataFrame) -> DataFrame:
     return upsert(table, fresh, ["report_date"])
 
 
-def _as_table(df: DataFrame, schema) -> DataFrame:
+def as_table(df: DataFrame, schema) -> DataFrame:
     """Columns picked by name, in the order and types of the table."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

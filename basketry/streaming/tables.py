@@ -25,8 +25,13 @@ def replace_partitions(
     ).parquet(path)
 
 
+def replace_table(rows: DataFrame, path: str, staging: str) -> None:
+    """Replace a whole table; the rows may come from the table itself."""
+    rows.write.mode("overwrite").parquet(staging)
+    rows.sparkSession.read.schema(rows.schema).parquet(staging).write.mode("overwrite").parquet(path)
+
+
 def write_ranked(rows: DataFrame, path: str, by: str, staging: str) -> None:
     """A whole table laid out by descending value, for readers that want the top first."""
-    ordered = rows.repartitionByRange(F.col(by).desc()).sortWithinPartitions(F.col(by).desc())
-    ordered.write.mode("overwrite").parquet(staging)
-    rows.sparkSession.read.schema(rows.schema).parquet(staging).write.mode("overwrite").parquet(path)
+    order = F.col(by).desc()
+    replace_table(rows.repartitionByRange(order).sortWithinPartitions(order), path, staging)

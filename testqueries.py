@@ -473,10 +473,13 @@ def scd2_products(spark, sf):
 
 @query
 def fact_orders_as_of(spark, sf):
-    """Each order line with the product version valid on its day."""
+    """Each order line with the key, rate and status of the product version valid on its day."""
     orders = tv.order_events(spark, sf).select("order_id", "product_id", "total_amount", "event_time")
+    versions = warehouse.build_dimension(
+        _versions(spark, sf), ["product_id", "effective_from"], "product_key"
+    )
     return as_of_lookup(
-        orders, _versions(spark, sf), ["product_id"], "event_time", ["rate", "status"],
+        orders, versions, ["product_id"], "event_time", ["product_key", "rate", "status"],
         tv.table(spark, sf, "lineitem"),
     )
 
