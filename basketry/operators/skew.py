@@ -24,18 +24,24 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= BROADCAST_BYTES
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
+def heavy_keys(
+    df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE, time: str | None = None
+) -> DataFrame:
     """Keys holding more than 1/share of the rows, with the number of parts to cut each into.
 
     There are fewer than `share` such keys, whatever the data. A key gets as many parts as
     its rows would fill shuffle partitions, so all keys together get no more parts than there
-    are partitions (plus one per key).
+    are partitions (plus one per key). With a time column, the first and last time (in
+    microseconds) of the key are given too.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    span = {"_lo": F.min, "_hi": F.max} if time else {}
+    counts = df.groupBy(*on).agg(
+        F.count(F.lit(1)).alias("_n"), *[f(F.unix_micros(time)).alias(c) for c, f in span.items()]
+    )
     parts = F.ceil(F.col("_n") * partitions / total).cast("int")
-    return counts.filter(F.col("_n") * share > total).select(*on, parts.alias("_parts"))
+    return counts.filter(F.col("_n") * share > total).select(*on, parts.alias("_parts"), *span)
 
 
 def _with_parts(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -63,17 +69,23 @@ def repeat(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
     return _with_parts(df, heavy, on).withColumn("_part", F.explode(parts)).drop("_parts")
 
 
-def split_heavy(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows of all other keys and the rows of the heavy keys.
+def split_heavy(
+    df: DataFrame, heavy: DataFrame, on: Sequence[str], time: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and those of the heavy keys with their time slot, _slot.
 
-    With no heavy key the second frame is found empty while the query runs, and its part of
-    the plan is dropped.
+    `heavy` comes from heavy_keys with the time column. A key gets four slots per part, evenly
+    over its time. With no heavy key the second frame is found empty while the query runs, and
+    its part of the plan is dropped.
     """
-    side = F.broadcast(heavy.select(*[F.col(c).alias(f"_h_{c}") for c in on]))
+    side = F.broadcast(heavy.withColumnsRenamed({c: f"_h_{c}" for c in on}))
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
-    return df.join(side, match, "left_anti"), df.join(side, match, "left_semi")
+    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / (F.col("_parts") * 4))
+    slot = F.floor((F.unix_micros(time) - F.col("_lo")) / width)
+    hot = df.join(side, match).withColumn("_slot", slot).select(*df.columns, "_slot")
+    return df.join(side, match, "left_anti"), hot
 
 
 def skew_join(

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from basketry.operators.ranking import top_k_per_group
 from basketry.operators.skew import fits_broadcast, heavy_keys, repeat, split_heavy, spread
 
-DAY = 86_400
-
-
 def scd2(
     changes: DataFrame,
     keys: Sequence[str],
@@ -20,7 +17,6 @@ def scd2(
     tie_break: Sequence[str] = (),
     deleted: str = "is_deleted",
     heavy: DataFrame | None = None,
-    slot_seconds: int = DAY,
 ) -> DataFrame:
     """Change rows to versions: attributes, effective_from, effective_to, is_current.
 
@@ -30,22 +26,21 @@ def scd2(
 
     All steps look at neighbours in time, over one shuffle by key. A heavy key would be too
     much for one task, so its rows are cut into time slots, and what a slot must know of the
-    slots around it comes from a table of one row per slot. `heavy` may give the heavy keys, by
-    any columns of the changes that tell the keys apart, if those are cheaper to count.
+    slots around it comes from a table of one row per slot. `heavy` may give the heavy keys and
+    their times, by any columns that tell the keys apart, if those are cheaper to count.
     """
-    heavy = heavy_keys(changes, keys) if heavy is None else heavy
-    by = [c for c in heavy.columns if c != "_parts"]
+    heavy = heavy_keys(changes, keys, time=time) if heavy is None else heavy
+    by = [c for c in heavy.columns if c not in ("_parts", "_lo", "_hi")]
     extra = [c for c in by if c not in keys]
     ties = [*tie_break, deleted, *attributes]
     columns = [*keys, time, *dict.fromkeys(ties)]
-    light, hot = split_heavy(changes.select(*columns, *extra), heavy, by)
+    light, hot = split_heavy(changes.select(*columns, *extra), heavy, by, time)
     # Copies of a heavy key at one instant are dropped where they are read.
     hot = top_k_per_group(
-        hot.select(*columns), [*keys, time], [F.col(c).desc_nulls_last() for c in ties], 1, "_rn"
+        hot.select(*columns, "_slot"), [*keys, time], [F.col(c).desc_nulls_last() for c in ties], 1, "_rn"
     ).drop("_rn")
-    slot = F.floor(F.unix_micros(time) / F.lit(slot_seconds * 1_000_000))
     group = [*keys, "_hot", "_slot"]
-    hot = hot.withColumn("_hot", F.lit(True)).withColumn("_slot", slot)
+    hot = hot.withColumn("_hot", F.lit(True))
     light = light.select(*columns).withColumn("_hot", F.lit(False)).withColumn("_slot", F.lit(0).cast("bigint"))
     rows = light.unionByName(hot)
 
@@ -92,19 +87,28 @@ def _neighbour(
     return joined.withColumn("_seen", F.coalesce("_inside", "_across")["v"]).drop("_inside", "_across")
 
 
+# A broadcast lookup compares a fact with every version of its key; above this it merges.
+FEW_VERSIONS = 100
+
+
 def as_of_lookup(
     fact: DataFrame, dim: DataFrame, on: list[str], time: str, columns: Sequence[str],
-    stored: DataFrame | None = None,
+    stored: DataFrame | None = None, versions_per_key: int | None = None,
 ) -> DataFrame:
     """Add columns of the version that was valid at the time of the fact; null if none was.
 
-    A dimension small enough is broadcast. Otherwise facts and versions are merged in order of
-    time, one pass per key, so a key with many versions costs no comparison of each with each.
+    A dimension is broadcast if it is small and no key has many versions, which is counted
+    unless `versions_per_key` tells. Otherwise facts and versions are merged in order of time,
+    one pass per key, so a key with many versions costs no comparison of each with each.
     """
     versions = dim.select(
         *on, *columns, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
     )
-    if fits_broadcast(stored if stored is not None else dim):
+    small = fits_broadcast(stored if stored is not None else dim)
+    if small and versions_per_key is None:
+        counts = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+        versions_per_key = counts.agg(F.max("n")).first()[0] or 0
+    if small and versions_per_key <= FEW_VERSIONS:
         side = versions.withColumnsRenamed({c: f"_r_{c}" for c in on})
         valid = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
         for c in on:

@@ -80,7 +80,7 @@ def history(
 
     Heavy keys are counted by the record key, for which no payload has to be parsed.
     """
-    heavy = heavy_keys(_rows_of(silver_rows, table), ["record_key"])
+    heavy = heavy_keys(_rows_of(silver_rows, table), ["record_key"], time="kafka_timestamp")
     return scd2(
         changes(silver_rows, table, schema), keys, "kafka_timestamp", attributes,
         ("partition", "offset"), heavy=heavy,

@@ -77,6 +77,7 @@ def with_dimension_keys(
     products: DataFrame | None,
     stored_users: DataFrame | None = None,
     stored_products: DataFrame | None = None,
+    versions_per_key: int | None = None,
 ) -> DataFrame:
     """Surrogate keys of the versions valid at the time of the event; null without dimension."""
     sides = (("user", users, stored_users), ("product", products, stored_products))
@@ -84,7 +85,9 @@ def with_dimension_keys(
         if dim is None:
             fact = fact.withColumn(f"{name}_key", F.lit(None).cast("bigint"))
         else:
-            fact = as_of_lookup(fact, dim, [f"{name}_id"], "event_time", [f"{name}_key"], stored)
+            fact = as_of_lookup(
+                fact, dim, [f"{name}_id"], "event_time", [f"{name}_key"], stored, versions_per_key
+            )
     return fact
 
 

@@ -347,6 +347,7 @@ def _facts(spark, sf, users: bool = False, products: bool = False) -> DataFrame:
         _dim_products(spark, sf) if products else None,
         tv.table(spark, sf, "customer"),
         tv.table(spark, sf, "part"),
+        versions_per_key=1,
     )
     return warehouse.fact_orders(keyed)
 
@@ -393,7 +394,7 @@ def fact_orders(spark, sf):
 def fact_payments(spark, sf):
     paid = tv.payments(tv.events(spark, sf))
     keyed = warehouse.with_dimension_keys(
-        paid, _dim_users(spark, sf), None, tv.table(spark, sf, "customer")
+        paid, _dim_users(spark, sf), None, tv.table(spark, sf, "customer"), versions_per_key=1
     )
     facts = warehouse.fact_payments(keyed)
     return warehouse.number_facts(facts, "payment_id", "payment_key").drop("etl_loaded_at")

@@ -179,3 +179,24 @@ def test_first_and_latest_row(spark):
     df = spark.createDataFrame(data, "k string, t int, v string").repartition(4)
     assert rows(first_per_key(df, ["k"], [F.col("t").asc_nulls_last()])) == [("a", 1, "y"), ("b", None, "q")]
     assert rows(latest_per_key(df, ["k"], ["t"])) == [("a", 2, "x"), ("b", None, "q")]
+
+
+def test_as_of_lookup_agrees_either_way(spark, monkeypatch):
+    from basketry.operators import versions
+
+    dim = spark.createDataFrame(
+        [("a", 1, at(0), at(10)), ("a", 2, at(10), None), ("b", 3, at(5), None)],
+        "k string, sk int, effective_from timestamp, effective_to timestamp",
+    )
+    facts = spark.createDataFrame(
+        [(k, at(t)) for k in ("a", "b", "c", None) for t in (0, 5, 9, 10, 99)], "k string, t timestamp"
+    )
+    small = versions.as_of_lookup(facts, dim, ["k"], "t", ["sk"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(versions, "FEW_VERSIONS", 1)
+    merged = versions.as_of_lookup(facts, dim, ["k"], "t", ["sk"])
+    assert "Union" in merged._jdf.queryExecution().executedPlan().toString()
+    want = [("a", at(t), 1 if t < 10 else 2) for t in (0, 5, 9, 10, 99)]
+    want += [("b", at(t), None if t < 5 else 3) for t in (0, 5, 9, 10, 99)]
+    want += [(k, at(t), None) for k in ("c", None) for t in (0, 5, 9, 10, 99)]
+    assert rows(small) == rows(merged) == sorted(want, key=str)
