@@ -56,7 +56,8 @@ def build_gold(
 
 def load_warehouse(spark: SparkSession, settings: Settings, holidays: DataFrame | None = None) -> None:
     """Load the star schema in full. Dimension tables are written before facts look them up."""
-    clean = gold.clean_orders(bronze_orders(spark, settings))
+    raw = bronze_orders(spark, settings)
+    clean = gold.clean_orders(raw)
     payments = read_dataset(spark, settings.bronze("payments"), schemas.bronze("payments"))
 
     def store(name: str, df: DataFrame, schema) -> DataFrame:
@@ -70,10 +71,15 @@ def load_warehouse(spark: SparkSession, settings: Settings, holidays: DataFrame
     products = warehouse.build_dimension(warehouse.product_versions(clean), ["product_id", version], "product_key")
     products = store("dim_products", products, schemas.DIM_PRODUCTS)
 
-    keyed = warehouse.with_dimension_keys(clean, users, products)
+    # Bronze has the keys in the shares of the facts and needs no cleaning to be counted.
+    keyed = warehouse.with_dimension_keys(
+        clean, warehouse.Dimension(users, counted=raw), warehouse.Dimension(products, counted=raw)
+    )
     orders = warehouse.number_facts(warehouse.fact_orders(keyed), "order_id", "order_key")
     _store_fact(spark, settings, "fact_orders", orders, schemas.FACT_ORDERS, "order_timestamp")
-    paid = warehouse.with_dimension_keys(gold.first_payments(payments), users, None)
+    paid = warehouse.with_dimension_keys(
+        gold.first_payments(payments), warehouse.Dimension(users, counted=payments), None
+    )
     facts = warehouse.number_facts(warehouse.fact_payments(paid), "payment_id", "payment_key")
     _store_fact(spark, settings, "fact_payments", facts, schemas.FACT_PAYMENTS, "payment_timestamp")
 

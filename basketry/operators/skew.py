@@ -35,11 +35,11 @@ def heavy_keys(
     microseconds) of the key are given too.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.agg(F.count(F.lit(1))).scalar()
     span = {"_lo": F.min, "_hi": F.max} if time else {}
     counts = df.groupBy(*on).agg(
         F.count(F.lit(1)).alias("_n"), *[f(F.unix_micros(time)).alias(c) for c, f in span.items()]
     )
+    total = counts.agg(F.sum("_n")).scalar()
     parts = F.ceil(F.col("_n") * partitions / total).cast("int")
     return counts.filter(F.col("_n") * share > total).select(*on, parts.alias("_parts"), *span)
 
@@ -94,15 +94,18 @@ def skew_join(
     on: list[str],
     how: str = "inner",
     residual: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join a skewed left side to a right side that has one row, or few, per key.
 
     Rows of heavy keys are spread over parts and the matching right rows repeated for each;
-    all other keys join as they are. The result is that of the plain join.
+    all other keys join as they are. The result is that of the plain join. `counted` names a
+    stored table that has the keys in about the same shares, so that a derived left side is not
+    worked out twice; the choice of heavy keys never changes the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot cut up a {how} join")
-    heavy = heavy_keys(left, on)
+    heavy = heavy_keys(left if counted is None else counted, on)
     return _join(
         spread(left, heavy, on), repeat(right, heavy, on), [*on, "_part"], how, residual
     ).drop("_part")
@@ -114,6 +117,7 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     stored: DataFrame | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts to a dimension: by broadcast if its size allows, else by skew_join.
 
@@ -122,7 +126,7 @@ def lookup_join(
     """
     if fits_broadcast(stored if stored is not None else dim):
         return fact.join(F.broadcast(dim), on, how)
-    return skew_join(fact, dim, on, how)
+    return skew_join(fact, dim, on, how, counted=counted)
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, residual: Column | None) -> DataFrame:

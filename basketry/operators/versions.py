@@ -93,13 +93,15 @@ FEW_VERSIONS = 100
 
 def as_of_lookup(
     fact: DataFrame, dim: DataFrame, on: list[str], time: str, columns: Sequence[str],
-    stored: DataFrame | None = None, versions_per_key: int | None = None,
+    stored: DataFrame | None = None, counted: DataFrame | None = None,
+    versions_per_key: int | None = None,
 ) -> DataFrame:
     """Add columns of the version that was valid at the time of the fact; null if none was.
 
     A dimension is broadcast if it is small and no key has many versions, which is counted
     unless `versions_per_key` tells. Otherwise facts and versions are merged in order of time,
     one pass per key, so a key with many versions costs no comparison of each with each.
+    `stored` and `counted` are as in lookup_join and skew_join.
     """
     versions = dim.select(
         *on, *columns, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
@@ -115,17 +117,18 @@ def as_of_lookup(
             valid = valid & (F.col(c) == F.col(f"_r_{c}"))
         joined = fact.join(F.broadcast(side), valid, "left")
         return joined.drop("_from", "_to", *[f"_r_{c}" for c in on])
-    return merge_as_of(fact, versions, on, time, columns)
+    return merge_as_of(fact, versions, on, time, columns, counted)
 
 
 def merge_as_of(
-    fact: DataFrame, versions: DataFrame, on: list[str], time: str, columns: Sequence[str]
+    fact: DataFrame, versions: DataFrame, on: list[str], time: str, columns: Sequence[str],
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """The sorted form of as_of_lookup; versions hold _from and _to and do not overlap.
 
     Facts of a heavy key are spread over parts and its versions repeated for each.
     """
-    heavy = heavy_keys(fact, on)
+    heavy = heavy_keys(fact if counted is None else counted, on)
     given = fact.columns
     facts = spread(fact, heavy, on).withColumn("_fact", F.struct(*given)).select(
         *on, "_part", F.col(time).alias("_at"), F.lit(1).alias("_kind"), "_fact",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry import schemas
@@ -41,7 +43,9 @@ def user_versions(orders: DataFrame) -> DataFrame:
     changes = orders.filter(F.col("user_id").isNotNull()).withColumn("is_deleted", F.lit(False))
     versions = scd2(changes, ["user_id"], "event_time", ["country", "city"], ["order_id"])
     first = versions.groupBy("user_id").agg(F.to_date(F.min("effective_from")).alias("first_seen_date"))
-    return lookup_join(versions, first, ["user_id"], "inner").withColumn("is_active", F.lit(True))
+    return lookup_join(versions, first, ["user_id"], "inner", counted=changes).withColumn(
+        "is_active", F.lit(True)
+    )
 
 
 def product_versions(orders: DataFrame) -> DataFrame:
@@ -71,22 +75,27 @@ def open_versions(rows: DataFrame, effective_from: Column) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension to look keys up in, with what is known of its size (see as_of_lookup)."""
+
+    rows: DataFrame
+    stored: DataFrame | None = None
+    counted: DataFrame | None = None
+    versions_per_key: int | None = None
+
+
 def with_dimension_keys(
-    fact: DataFrame,
-    users: DataFrame | None,
-    products: DataFrame | None,
-    stored_users: DataFrame | None = None,
-    stored_products: DataFrame | None = None,
-    versions_per_key: int | None = None,
+    fact: DataFrame, users: Dimension | None, products: Dimension | None
 ) -> DataFrame:
     """Surrogate keys of the versions valid at the time of the event; null without dimension."""
-    sides = (("user", users, stored_users), ("product", products, stored_products))
-    for name, dim, stored in sides:
+    for name, dim in (("user", users), ("product", products)):
         if dim is None:
             fact = fact.withColumn(f"{name}_key", F.lit(None).cast("bigint"))
         else:
             fact = as_of_lookup(
-                fact, dim, [f"{name}_id"], "event_time", [f"{name}_key"], stored, versions_per_key
+                fact, dim.rows, [f"{name}_id"], "event_time", [f"{name}_key"], dim.stored, dim.counted,
+                dim.versions_per_key,
             )
     return fact
 

@@ -339,15 +339,22 @@ def _dim_products(spark, sf):
     return warehouse.build_dimension(rows, ["product_id"], "product_key")
 
 
+def _user_lookup(spark, sf, counted):
+    return warehouse.Dimension(_dim_users(spark, sf), tv.table(spark, sf, "customer"), counted, 1)
+
+
+def _product_lookup(spark, sf):
+    lines = tv.table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("product_id"))
+    return warehouse.Dimension(_dim_products(spark, sf), tv.table(spark, sf, "part"), lines, 1)
+
+
 def _facts(spark, sf, users: bool = False, products: bool = False) -> DataFrame:
     clean = gold.clean_orders(tv.order_events(spark, sf))
+    buyers = tv.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("user_id"))
     keyed = warehouse.with_dimension_keys(
         clean,
-        _dim_users(spark, sf) if users else None,
-        _dim_products(spark, sf) if products else None,
-        tv.table(spark, sf, "customer"),
-        tv.table(spark, sf, "part"),
-        versions_per_key=1,
+        _user_lookup(spark, sf, buyers) if users else None,
+        _product_lookup(spark, sf) if products else None,
     )
     return warehouse.fact_orders(keyed)
 
@@ -393,9 +400,7 @@ def fact_orders(spark, sf):
 @query
 def fact_payments(spark, sf):
     paid = tv.payments(tv.events(spark, sf))
-    keyed = warehouse.with_dimension_keys(
-        paid, _dim_users(spark, sf), None, tv.table(spark, sf, "customer"), versions_per_key=1
-    )
+    keyed = warehouse.with_dimension_keys(paid, _user_lookup(spark, sf, paid), None)
     facts = warehouse.fact_payments(keyed)
     return warehouse.number_facts(facts, "payment_id", "payment_key").drop("etl_loaded_at")
 
@@ -479,9 +484,10 @@ def fact_orders_as_of(spark, sf):
     versions = warehouse.build_dimension(
         _versions(spark, sf), ["product_id", "effective_from"], "product_key"
     )
+    orders_read = tv.product_changes(spark, sf)
     return as_of_lookup(
         orders, versions, ["product_id"], "event_time", ["product_key", "rate", "status"],
-        tv.table(spark, sf, "lineitem"),
+        tv.table(spark, sf, "lineitem"), orders_read,
     )
 
 

@@ -176,11 +176,12 @@ def order_events(spark: SparkSession, sf: str) -> DataFrame:
     """Order grain; (l_orderkey, l_linenumber) repeats, so this table needs cleaning."""
     get = partial(table, spark, sf)
     lines = get("lineitem").withColumnsRenamed({"l_orderkey": "o_orderkey", "l_partkey": "p_partkey"})
-    lines = lookup_join(lines, get("orders").drop("o_totalprice"), ["o_orderkey"], "inner")
-    lines = lookup_join(lines, get("part"), ["p_partkey"], "inner")
+    read, orders = lines, get("orders").drop("o_totalprice")
+    lines = lookup_join(lines, orders, ["o_orderkey"], "inner", counted=read)
+    lines = lookup_join(lines, get("part"), ["p_partkey"], "inner", counted=read)
     buyers = get("customer").join(get("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     buyers = buyers.select(F.col("c_custkey").alias("o_custkey"), "n_name")
-    lines = lookup_join(lines, buyers, ["o_custkey"], "inner", stored=get("customer"))
+    lines = lookup_join(lines, buyers, ["o_custkey"], "inner", get("customer"), orders)
     return lines.select(
         F.concat_ws("-", "o_orderkey", "l_linenumber").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
