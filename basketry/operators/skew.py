@@ -44,14 +44,19 @@ def heavy_keys(
     return counts.filter(F.col("_n") * share > total).select(*on, parts.alias("_parts"), *span)
 
 
-def _with_parts(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Add the part count of the key; null for all but heavy keys. A null key is a key too."""
-    side = heavy.withColumnsRenamed({c: f"_h_{c}" for c in on})
+def _key_side(heavy: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The heavy keys as a broadcast side, and the condition that a row has such a key."""
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
     # heavy_keys returns fewer than HEAVY_SHARE rows, so it may be broadcast.
-    return df.join(F.broadcast(side), match, "left").drop(*[f"_h_{c}" for c in on])
+    return F.broadcast(heavy.withColumnsRenamed({c: f"_h_{c}" for c in on})), match
+
+
+def _with_parts(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add the part count of the key; null for all but heavy keys. A null key is a key too."""
+    side, match = _key_side(heavy, on)
+    return df.join(side, match, "left").drop(*[f"_h_{c}" for c in on])
 
 
 def spread(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -78,10 +83,7 @@ def split_heavy(
     over its time. With no heavy key the second frame is found empty while the query runs, and
     its part of the plan is dropped.
     """
-    side = F.broadcast(heavy.withColumnsRenamed({c: f"_h_{c}" for c in on}))
-    match = F.lit(True)
-    for c in on:
-        match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    side, match = _key_side(heavy, on)
     width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / (F.col("_parts") * 4))
     slot = F.floor((F.unix_micros(time) - F.col("_lo")) / width)
     hot = df.join(side, match).withColumn("_slot", slot).select(*df.columns, "_slot")

@@ -7,7 +7,6 @@ opened with the checkpoint it was written with.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -15,6 +14,9 @@ from pyspark.sql import SparkSession
 from basketry.sources.files import path_exists
 
 
+_MANIFEST = "number int, checkpoint string"
+
+
 class PairingError(RuntimeError):
     pass
 
@@ -22,11 +24,6 @@ class PairingError(RuntimeError):
 @dataclass(frozen=True)
 class Run:
     number: int
-    token: str
-
-    @property
-    def folder(self) -> str:
-        return f"{self.number:08d}"
 
 
 def check_pairing(spark: SparkSession, sink: str, checkpoint: str) -> None:
@@ -47,11 +44,11 @@ def open_run(spark: SparkSession, table: str, checkpoint: str) -> Run:
     manifest = f"{table.rstrip('/')}/_runs"
     known = []
     if path_exists(spark, manifest):
-        known = spark.read.schema("number int, token string, checkpoint string").json(manifest).collect()
+        known = spark.read.schema(_MANIFEST).json(manifest).collect()
     for row in known:
         if row.checkpoint == checkpoint:
-            return Run(row.number, row.token)
-    run = Run(1 + max((row.number for row in known), default=0), uuid.uuid4().hex)
-    row = spark.createDataFrame([(run.number, run.token, checkpoint)], "number int, token string, checkpoint string")
+            return Run(row.number)
+    run = Run(1 + max((row.number for row in known), default=0))
+    row = spark.createDataFrame([(run.number, checkpoint)], _MANIFEST)
     row.coalesce(1).write.mode("append").json(manifest)
     return run

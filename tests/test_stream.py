@@ -14,7 +14,7 @@ from basketry.sources.kafka import read_record_files
 from basketry.streaming import app, upsert_log
 from basketry.streaming.bronze import append_stream, compact_days, late_rows, read_bronze
 from basketry.streaming.joins import dedup_stream
-from basketry.streaming.runs import PairingError, Run, open_run
+from basketry.streaming.runs import PairingError, open_run
 from basketry.session import streaming_session
 from conftest import rows
 
@@ -204,8 +204,15 @@ def test_output_modes_and_keys_of_all_metrics(spark):
         assert metric.mode in ("update", "append")
 
 
-def test_run_folder_sorts_by_number():
-    assert Run(2, "x").folder < Run(10, "x").folder
+def test_change_feed_query(spark, session, tmp_path):
+    settings = Settings(lake_root=str(tmp_path), state_partitions=2)
+    topic = "ecommerce_cdc.ecommerce_cdc.products"
+    data = [(b"k", text, topic, 0, i, None, 0) for i, text in enumerate([b'{"op":"c","after":{"product_id":1}}', None])]
+    spark.createDataFrame(data, schemas.KAFKA).coalesce(1).write.parquet(f"{tmp_path}/feed")
+    app.start_cdc(session, settings, read_record_files(session, f"{tmp_path}/feed")).awaitTermination()
+    silver = spark.read.schema(schemas.CDC_SILVER).parquet(settings.silver("cdc"))
+    assert rows(silver, "table_name", "operation") == [("products", "c"), ("products", "t")]
+    assert all("table_name=products/year=" in f for f in silver.inputFiles())
 
 
 def test_inventory_keeps_last_stock(spark):
