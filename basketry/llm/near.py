@@ -43,7 +43,7 @@ class NearSettings:
     numerator: int = 75
     denominator: int = 100
     miss: float = 1e-4
-    block: int = 1024
+    block: int = 512
 
 
 def least_matches(n: int, threshold: float, miss: float) -> int:
@@ -116,8 +116,10 @@ def _bands(settings: NearSettings):
                 cut = sig.reshape(-1, settings.bands, rows)
                 keys = W.mix((cut * (place[:, :rows] | np.uint64(1))).sum(axis=2, dtype=np.uint64) + place[:, rows])
                 ids = np.repeat(np.asarray(part.column("id")), settings.bands)
+                band = np.tile(np.arange(settings.bands, dtype=np.int32), part.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids, pa.int64())], ["bucket", "id"]
+                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(band), pa.array(ids, pa.int64())],
+                    ["bucket", "band", "id"],
                 )
 
     return run
@@ -150,9 +152,9 @@ def _prune(settings: NearSettings):
                 left = _matrix(part.column("sig_a"), settings.hashes)
                 right = _matrix(part.column("sig_b"), settings.hashes)
                 rows, matches = _survivors(left, right, settings)
+                kept = [part.column(c).take(pa.array(rows)) for c in ("a", "b", "small")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("a").take(pa.array(rows)), part.column("b").take(pa.array(rows)), pa.array(matches, pa.int64())],
-                    ["a", "b", "matches"],
+                    [*kept, pa.array(matches, pa.int64())], ["a", "b", "small", "matches"]
                 )
 
     return run
@@ -174,32 +176,56 @@ def _verify(settings: NearSettings):
 
 
 def _cross(settings: NearSettings):
-    """Compare the outsiders of each block with its members of other components."""
+    """Link the outsiders of each block with members of other components, on the full sets.
+
+    Two members that share several buckets are compared in that of their first common band
+    only. One link from an outsider to a component is enough.
+    """
+
+    def block(ids: np.ndarray, comps: np.ndarray, outside: np.ndarray, band: int, sigs: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        members = np.flatnonzero(~outside)
+        flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        size = np.array([s.size for s in sets])
+        start = np.cumsum(size) - size
+        mark = np.zeros(int(flat.max(initial=0)) + 1, bool)
+        cut = sigs.reshape(len(sigs), settings.bands, -1)
+        for r in np.flatnonzero(outside):
+            others = members[comps[members] != comps[r]]
+            rows, _ = _survivors(np.broadcast_to(sigs[r], (others.size, settings.hashes)), sigs[others], settings)
+            others = others[rows]
+            first = (cut[r] == cut[others]).all(axis=2).argmax(axis=1)
+            others = others[first == band]
+            if not others.size:
+                continue
+            own = flat[start[r] : start[r] + size[r]]
+            mark[own] = True
+            hits = np.add.reduceat(mark[flat[W.spread(start[others], size[others])]].astype(np.int64), np.cumsum(size[others]) - size[others])
+            mark[own] = False
+            linked = others[settings.denominator * hits >= settings.numerator * (size[r] + size[others] - hits)]
+            for k in np.unique(comps[linked], return_index=True)[1]:
+                yield int(ids[r]), int(ids[linked[k]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["bucket", "i", "j"]):
             keys = np.stack([np.asarray(table.column(c)) for c in ("bucket", "i", "j")])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            ids, comps = np.asarray(table.column("id")), np.asarray(table.column("component"))
-            outside = np.asarray(table.column("outside"))
-            sigs = _matrix(table.column("sig"), settings.hashes)
-            found: list[np.ndarray] = []
+            ids, comps, outside, band = (np.asarray(table.column(c)) for c in ("id", "component", "outside", "band"))
+            links: list[tuple[int, int]] = []
             for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
-                members = lo + np.flatnonzero(~outside[lo:hi])
-                for r in lo + np.flatnonzero(outside[lo:hi]):
-                    others = members[comps[members] != comps[r]]
-                    if others.size:
-                        rows, matches = _survivors(np.broadcast_to(sigs[r], (others.size, settings.hashes)), sigs[others], settings)
-                        other = ids[others[rows]]
-                        own = np.full(rows.size, ids[r])
-                        found.append(np.stack([np.maximum(own, other), np.minimum(own, other), matches]))
-            out = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "matches"])
+                own = slice(lo, hi)
+                if not outside[own].any() or outside[own].all():
+                    continue
+                part = table.slice(lo, hi - lo)
+                sets = list(W.shingle_sets(part.column("text")))
+                sigs = _matrix(part.column("sig"), settings.hashes)
+                links += block(ids[own], comps[own], outside[own], int(band[lo]), sigs, sets)
+            columns = list(zip(*links)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v"])
 
     return run
 
 
-PAIRS = "a long, b long, matches long"
+PAIRS = "a long, b long, small boolean, matches long"
 
 
 def near_duplicates(
@@ -226,7 +252,7 @@ def near_duplicates(
     sigs = filled.select("id", *key, "sig").join(classes.select("id", *key), ["id", *key], "left_semi")
     sigs = scratch.keep(sigs.select("id", "sig").dropDuplicates(["id"]))
 
-    banded = sigs.mapInArrow(_bands(settings), "bucket long, id long")
+    banded = sigs.mapInArrow(_bands(settings), "bucket long, band int, id long")
     shuffled = F.struct(F.xxhash64("id", "bucket").alias("h"), F.col("id").alias("i"))
     hubs = (
         banded.groupBy("bucket")
@@ -235,18 +261,19 @@ def near_duplicates(
         .select("bucket", "hub", "other", "n")
     )
     buckets = scratch.keep(banded.join(hubs, "bucket"))
-    star = buckets.select(F.col("id").alias("a"), F.explode(F.array("hub", "other")).alias("b")).filter("a != b")
-    star = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    star = buckets.select(F.col("id").alias("a"), F.explode(F.array("hub", "other")).alias("b"), (F.col("n") <= 3).alias("small"))
+    star = star.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "small")
+    star = star.groupBy("a", "b").agg(F.max("small").alias("small"))
     pairs = scratch.keep(_with(star, sigs, "sig", "id").mapInArrow(_prune(settings), PAIRS))
 
     # The best partner of each document first: that joins nearly all that belongs together.
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))
     links = scratch.keep(_verified(best, docs, settings))
     joined = scratch.keep(components(links, scratch))
-    rest = pairs.join(best, ["a", "b"], "left_anti").select("a", "b")
-    rest = _between(rest, joined).union(_cross_pairs(buckets, joined, sigs, scratch, settings))
-    rest = rest.distinct().join(pairs.select("a", "b").join(best, ["a", "b"], "left_semi"), ["a", "b"], "left_anti")
-    more = scratch.keep(_verified(rest, docs, settings))
+    # Then what could still join two components: other hubs in buckets of two or three members,
+    # and all members of larger ones.
+    rest = _between(pairs.filter("small").join(best, ["a", "b"], "left_anti"), joined)
+    more = scratch.keep(_verified(rest, docs, settings).union(_cross_links(buckets, joined, sigs, docs, scratch, settings)))
     found = components(links.union(more), scratch)
 
     named = classes.select(*key, F.col("id").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -280,13 +307,13 @@ def _with(pairs: DataFrame, side: DataFrame, column: str, key: str) -> DataFrame
     last, straight before the rows are used up, so that Spark can split it."""
     one = side.select(F.col(key).alias("a"), F.col(column).alias(f"{column}_a"))
     two = side.select(F.col(key).alias("b"), F.col(column).alias(f"{column}_b"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b")
+    return pairs.join(one, "a").join(two, "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, settings: NearSettings) -> DataFrame:
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.join(needed, "id", "left_semi").dropDuplicates(["id"])
-    return _with(pairs, texts, "text", "id").mapInArrow(_verify(settings), "u long, v long")
+    return _with(pairs.select("a", "b"), texts, "text", "id").mapInArrow(_verify(settings), "u long, v long")
 
 
 def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -297,17 +324,17 @@ def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _cross_pairs(
-    buckets: DataFrame, joined: DataFrame, sigs: DataFrame, scratch: Scratch, settings: NearSettings
+def _cross_links(
+    buckets: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, scratch: Scratch, settings: NearSettings
 ) -> DataFrame:
-    """Candidates across components in buckets of over three members.
+    """Links between components in buckets of over three members.
 
-    In a smaller bucket the two hubs have been compared with everyone; only a bucket of three
-    with one hub is left, and it is covered here too.
+    In a smaller bucket the hubs have been compared with everyone; only a bucket of three with
+    one hub for two is left, and it is covered here too.
     """
-    open_ones = buckets.filter("n > 3 or (n = 3 and hub = other)").select("bucket", "id")
+    open_ones = buckets.filter("n > 3 or (n = 3 and hub = other)").select("bucket", "band", "id")
     known = open_ones.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    known = scratch.keep(known.select("bucket", "id", F.coalesce("component", "id").alias("component")))
+    known = scratch.keep(known.select("bucket", "band", "id", F.coalesce("component", "id").alias("component")))
     sizes = known.groupBy("bucket", "component").agg(F.count("id").alias("n"))
     largest = sizes.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"),
@@ -319,12 +346,15 @@ def _cross_pairs(
     columns = F.ceil((F.col("all") - F.col("most")) / size).cast("int")
     place = F.xxhash64("id")
     every = mixed.select(
-        "bucket", "id", "component", F.lit(False).alias("outside"),
+        "bucket", "band", "id", "component", F.lit(False).alias("outside"),
         F.pmod(place, rows).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("j"),
     )
     outer = mixed.filter("outside").select(
-        "bucket", "id", "component", "outside",
+        "bucket", "band", "id", "component", "outside",
         F.explode(F.sequence(F.lit(0), rows - 1)).alias("i"), F.pmod(place, columns).cast("int").alias("j"),
     )
-    blocks = every.union(outer).join(sigs, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return blocks.mapInArrow(_cross(settings), PAIRS).select("a", "b")
+    cells = scratch.keep(every.union(outer))
+    needed = cells.select("id").distinct()
+    texts = docs.join(needed, "id", "left_semi").dropDuplicates(["id"])
+    blocks = cells.join(sigs, "id").join(texts, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return blocks.mapInArrow(_cross(settings), "u long, v long")
