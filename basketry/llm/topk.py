@@ -4,10 +4,9 @@ Vectors lie in blocks of bounded size, and every block of queries meets every bl
 A block keeps one list per dimension, sorted by value, that all its queries share: a positive
 component reads its list from the top, a negative one from the bottom. All lists are read side by
 side to growing depth. A vector's upper bound takes, for each list that has not shown it yet, the
-list's current value, and its lower bound the list's last value. The k-th best lower bound, made
-sharp by resolving the leading vectors, rules out every vector whose upper bound lies below it;
-reading stops when few are left or when resolving them costs less than reading on. What is left is
-resolved to exact scores. Nothing else than the bounds decides, so the result is exact.
+list's current value. The leading vectors are read to the end, so their lower bounds are their scores;
+the k-th best of these rules out every vector whose upper bound lies below it. Reading stops when
+few are left, and what is left is resolved to exact scores. Nothing else than the bounds decides, so the result is exact.
 """
 
 from __future__ import annotations
@@ -38,9 +37,11 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
         self.ids, self.values = ids, values
-        self.order = np.argsort(values, axis=0, kind="stable").T  # dimension, rank: row
-        self.ranked = np.take_along_axis(values.T, self.order, axis=1).astype(np.float64)
         self.exact = values.astype(np.float64)
+        rising = np.argsort(values, axis=0, kind="stable").T
+        # [falling or rising, dimension, rank]: row, and its value
+        self.rows = np.stack([rising[:, ::-1], rising])
+        self.ranked = np.take_along_axis(np.stack([self.exact.T] * 2), self.rows, axis=2)
 
     def top(self, query: np.ndarray, own: int, settings: TopSettings) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows, without the query's own, best first."""
@@ -63,17 +64,17 @@ class SortedLists:
         use = np.flatnonzero(weight)
         if use.size == 0 or live.size <= k:
             return live
-        w, up = weight[use], weight[use] > 0
-        least = w * np.where(up, self.ranked[use, 0], self.ranked[use, -1])
+        w, way = weight[use], (weight[use] < 0).astype(np.int64)
         for depth in settings.depths:
             end = max(int(n * depth), 1)
-            rows = np.where(up[:, None], self.order[use, n - end :], self.order[use, :end]).ravel()
-            value = w[:, None] * np.where(up[:, None], self.ranked[use, n - end :], self.ranked[use, :end])
-            now = w * np.where(up, self.ranked[use, n - end], self.ranked[use, end - 1])
-            high = np.bincount(rows, (value - now[:, None]).ravel(), n)[live] + now.sum()
-            low = np.bincount(rows, (value - least[:, None]).ravel(), n)[live] + least.sum()
-            lead = live[np.argpartition(-low, k - 1)[:k]]
-            kth = max(np.partition(low, live.size - k)[live.size - k], (self.exact[lead] @ weight).min())
+            value = self.ranked[way, use, :end] * w[:, None]
+            now = value[:, -1]
+            # A row gains over the lists' current values where it has been seen.
+            gain = np.bincount(self.rows[way, use, :end].ravel(), (value - now[:, None]).ravel(), n)
+            high = gain[live] + now.sum()
+            # The leaders' lower bounds are their scores, as they are read to the end.
+            lead = live[np.argpartition(-high, k - 1)[: 2 * k]]
+            kth = np.partition(self.exact[lead] @ weight, lead.size - k)[lead.size - k]
             live = live[high >= kth]
             if live.size <= max(k, settings.few * n):
                 break
