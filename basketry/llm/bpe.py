@@ -28,7 +28,7 @@ from basketry.llm.ship import ship
 
 #: Fixed value: how byte-level vocabularies of this kind cut text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 LONG_WORD = 256
 WORDS_AT_ONCE = 100_000
 NEVER = int(np.iinfo(np.int64).max)
@@ -329,7 +329,7 @@ class Coder:
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
-        if sum(map(len, texts)) > 4 * W.CHUNK_BYTES:
+        if sum(map(len, texts)) > 8 * W.CHUNK_BYTES:
             each = [self.encode(t) for t in texts]
             return np.concatenate(each), np.array([e.size for e in each], np.int64)
         strings: list[str] = []
@@ -411,3 +411,24 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
                 yield pa.RecordBatch.from_arrays([*rows.columns, out], [*rows.schema.names, text])
 
     return base.mapInArrow(run, base.withColumn(text, F.lit("")).schema)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """encode and decode in one pass over the rows, with one Python worker per task: the frame
+    with both columns, and without the text itself."""
+    shared = _shared(docs, path)
+    base = docs.drop(ids, decoded)
+    kept = base.drop(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path, shared)
+        for batch in batches:
+            names = [c for c in batch.schema.names if c != text]
+            for first, part in W.chunks(batch.column(text)):
+                flat, size = coder.encode_all([t or "" for t in part.to_pylist()])
+                rows = batch.slice(first, len(part))
+                columns = [*[rows.column(c) for c in names], _lists(flat, size), coder.decode_all(flat, size)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, ids, decoded])
+
+    schema = kept.withColumn(ids, F.lit(None).cast("array<int>")).withColumn(decoded, F.lit("")).schema
+    return base.mapInArrow(run, schema)

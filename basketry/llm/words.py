@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SHINGLE = 5
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
