@@ -159,7 +159,7 @@ def identify(
     if not size:
         return _declared_only(base, plain, html)
     shared = pages.sparkSession.sparkContext.broadcast(profiles)  # languages x buckets numbers
-    schema = plain.withColumn("declared", F.lit("")).withColumn("_log", F.lit(None).cast("array<double>")).schema
+    schema = plain.withColumn("declared", F.lit(None).cast("string")).withColumn("_log", F.lit(None).cast("array<double>")).schema
     rows = base.mapInArrow(_likelihoods(shared, html, settings), schema)
     rows = rows.withColumn("_host", host_of(F.col(url)))
     rows = scratch.keep(rows.withColumn("_suffix", F.element_at(F.split("_host", "[.]"), -1)))
