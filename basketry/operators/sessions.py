@@ -12,8 +12,10 @@ def sessionize(
 
     Events of one user in the same gap-long slot are less than a gap apart, so they belong
     together and are added up before the shuffle. What is left per user is one row per slot,
-    however many events the user has. Two events exactly a gap apart are two sessions.
+    however many events the user has. Two events exactly a gap apart are two sessions. Events
+    without user or time belong to no session: visitors who are not known are not one user.
     """
+    events = events.filter(F.col(user).isNotNull() & F.col(time).isNotNull())
     micros = F.unix_micros(time)
     gap = gap_seconds * 1_000_000
     sums = [F.sum(expr).alias(name) for name, expr in measures.items()]

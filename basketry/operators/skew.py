@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Spark's own default limit for a broadcast side, in bytes.
 BROADCAST_BYTES = 10 * 1024 * 1024
-HEAVY_SHARE = 1000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -25,16 +24,18 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def heavy_keys(
-    df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE, time: str | None = None
+    df: DataFrame, on: Sequence[str], share: int | None = None, time: str | None = None
 ) -> DataFrame:
     """Keys holding more than 1/share of the rows, with the number of parts to cut each into.
 
+    Without `share`, these are the keys that hold more rows than an average shuffle partition.
     There are fewer than `share` such keys, whatever the data. A key gets as many parts as
     its rows would fill shuffle partitions, so all keys together get no more parts than there
     are partitions (plus one per key). With a time column, the first and last time (in
     microseconds) of the key are given too.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = share or partitions
     span = {"_lo": F.min, "_hi": F.max} if time else {}
     counts = df.groupBy(*on).agg(
         F.count(F.lit(1)).alias("_n"), *[f(F.unix_micros(time)).alias(c) for c, f in span.items()]
@@ -49,7 +50,7 @@ def _key_side(heavy: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Column]:
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
-    # heavy_keys returns fewer than HEAVY_SHARE rows, so it may be broadcast.
+    # heavy_keys returns fewer rows than there are shuffle partitions, so it may be broadcast.
     return F.broadcast(heavy.withColumnsRenamed({c: f"_h_{c}" for c in on})), match
 
 

@@ -101,11 +101,12 @@ def as_of_lookup(
     A dimension is broadcast if it is small and no key has many versions, which is counted
     unless `versions_per_key` tells. Otherwise facts and versions are merged in order of time,
     one pass per key, so a key with many versions costs no comparison of each with each.
+    A version without key or start is never valid, and a fact without key or time finds none.
     `stored` and `counted` are as in lookup_join and skew_join.
     """
     versions = dim.select(
         *on, *columns, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
-    )
+    ).dropna(subset=[*on, "_from"])
     small = fits_broadcast(stored if stored is not None else dim)
     if small and versions_per_key is None:
         counts = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))

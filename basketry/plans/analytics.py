@@ -13,6 +13,7 @@ from basketry.functions.scalars import money, percent, ratio
 from basketry.operators.intervals import trailing_counts
 from basketry.operators.ranking import top_n
 from basketry.operators.skew import lookup_join, skew_join
+from basketry.plans.gold import dedup_orders, first_payments
 
 
 def daily_trend(fact: DataFrame, dim_date: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -119,7 +120,8 @@ def year_over_year(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def cohort_retention(activity: DataFrame, user: str, date: str) -> DataFrame:
     """Buyers by month of first purchase and months since then, with the share still active."""
-    months = activity.select(user, F.trunc(date, "month").alias("_month")).distinct()
+    known = activity.filter(F.col(user).isNotNull())
+    months = known.select(user, F.trunc(date, "month").alias("_month")).distinct()
     # At most one row per user and month is left, so a busy user is no heavier than others.
     first = F.min("_month").over(Window.partitionBy(user))
     offset = F.months_between("_month", "cohort_month").cast("int")
@@ -137,9 +139,15 @@ def cohort_retention(activity: DataFrame, user: str, date: str) -> DataFrame:
 def order_payments(orders: DataFrame, payments: DataFrame, minutes: int = 10) -> DataFrame:
     """Each order with the payments made for it within some minutes; one row per order.
 
-    Payments are the skewed side (retries), so they are salted and counted per order before
+    Orders and payments that were delivered again count once, at their first time; an order
+    without id is left out, as no payment can name it. Payments are the skewed side (retries), so they are salted and counted per order before
     the orders are brought in again.
     """
+    orders = dedup_orders(orders.filter("order_id is not null"))
+    if "payment_id" in payments.columns:
+        payments = first_payments(payments.filter("payment_id is not null")).unionByName(
+            payments.filter("payment_id is null")
+        )
     asked = orders.select("order_id", F.col("event_time").alias("ordered_at"))
     late = F.col("ordered_at") + F.make_dt_interval(mins=F.lit(minutes))
     in_time = F.col("event_time").between(F.col("ordered_at"), late)

@@ -118,6 +118,17 @@ def kpi_active_users_approx(spark, sf):
     return kpi.active_users_approx(tv.activity(tv.events(spark, sf)))
 
 
+@query
+def kpi_active_users_approx_check(spark, sf):
+    """Per window the exact count, and whether the estimate is within 15 % of it (or of one)."""
+    activity = tv.activity(tv.events(spark, sf))
+    exact = kpi.active_users_exact(activity)
+    near = kpi.active_users_approx(activity).withColumnRenamed("active_user_count", "estimate")
+    off = F.abs(F.col("estimate") - F.col("active_user_count"))
+    close = off <= F.greatest(F.lit(1.0), 0.15 * F.col("active_user_count"))
+    return exact.join(near, ["window_start", "window_end"]).withColumn("within", close).drop("estimate")
+
+
 def _clickstream(ev):
     clicks = tv.clicks(ev)
     return kpi.clickstream_metrics(kpi.click_windows(clicks, exact=True), kpi.page_windows(clicks))
@@ -611,10 +622,10 @@ def dq_failed_payment_rate(spark, sf):
 
 @query
 def dq_orphan_keys(spark, sf):
-    """Orders whose product is not among the small parts."""
-    small = tv.table(spark, sf, "part").filter(F.col("p_size") <= 25)
+    """Orders whose product is not among the parts."""
+    parts = tv.table(spark, sf, "part")
     return quality.orphan_keys(
-        tv.order_events(spark, sf), small.select(F.col("p_partkey").cast("string").alias("product_id")), "product_id"
+        tv.order_events(spark, sf), parts.select(F.col("p_partkey").cast("string").alias("product_id")), "product_id"
     )
 
 

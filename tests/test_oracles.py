@@ -5,10 +5,11 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__
+import oracles
+import testqueries
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = testqueries.QUERIES
+ORACLES = oracles.oracle_sql()
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 TYPES = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",

@@ -12,7 +12,8 @@ from basketry.operators.keys import assign_keys, last_key
 from basketry.operators.ranking import first_per_key, latest_per_key
 from basketry.operators.sessions import sessionize
 from basketry.operators.skew import heavy_keys, skew_join
-from basketry.operators.versions import merge_as_of, scd2
+from basketry.operators.versions import as_of_lookup, merge_as_of, scd2
+from basketry.plans import analytics
 from conftest import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -200,3 +201,45 @@ def test_as_of_lookup_agrees_either_way(spark, monkeypatch):
     want += [("b", at(t), None if t < 5 else 3) for t in (0, 5, 9, 10, 99)]
     want += [(k, at(t), None) for k in ("c", None) for t in (0, 5, 9, 10, 99)]
     assert rows(small) == rows(merged) == sorted(want, key=str)
+
+
+def test_trailing_counts_match_brute_force_and_need_no_sliding_frame(spark):
+    at = [0, 0, 1, 599, 600, 601, 1200, 1201, 1300, 1800, 1900]
+    events = [("u", T0 + dt.timedelta(seconds=t), "c" if i % 2 else "p") for i, t in enumerate(at)]
+    df = spark.createDataFrame([*events, (None, events[0][1], "p"), (None, events[0][1], "c")], "k string, t timestamp, e string")
+    out = trailing_counts(df, "k", "t", F.col("e") == "c", 600)
+    got = sorted((r.t, r.e, r.trailing_count, r.last_counted_at) for r in out.collect() if r.k)
+    want = []
+    for _, t, e in events:
+        near = [s for _, s, f in events if f == "c" and t - dt.timedelta(seconds=600) <= s <= t]
+        want.append((t, e, len(near), max(near, default=None)))
+    key = lambda r: (r[0], r[1], r[2])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert {(r.trailing_count, r.last_counted_at) for r in out.collect() if r.k is None} == {(0, None)}
+    assert "preceding" not in out._jdf.queryExecution().optimizedPlan().toString().lower().replace("unboundedpreceding", "")
+
+
+def test_unknown_users_have_no_session(spark):
+    t = T0
+    df = spark.createDataFrame([("u", t), (None, t), (None, t)], "u string, t timestamp")
+    assert [r.u for r in sessionize(df, "u", "t", 1800, {"n": F.lit(1)}).collect()] == ["u"]
+
+
+def test_as_of_paths_agree_on_null_keys_and_starts(spark):
+    t = T0
+    facts = spark.createDataFrame([("a", t), (None, t)], "k string, t timestamp")
+    dim = spark.createDataFrame(
+        [("a", 1, t, None), (None, 2, t, None), ("a", 3, None, None)],
+        "k string, v int, effective_from timestamp, effective_to timestamp",
+    )
+    for versions in (1, 1000):
+        got = as_of_lookup(facts, dim, ["k"], "t", ["v"], versions_per_key=versions).collect()
+        assert {(r.k, r.v) for r in got} == {("a", 1), (None, None)}
+
+
+def test_redelivered_orders_and_payments_count_once(spark):
+    t = T0
+    orders = spark.createDataFrame([("o", "u", t, 10.0)] * 2 + [(None, "u", t, 5.0)], "order_id string, user_id string, event_time timestamp, total_amount double")
+    pays = spark.createDataFrame([("p", "o", t, "success", 10.0)] * 2, "payment_id string, order_id string, event_time timestamp, status string, amount double")
+    got = analytics.order_payments(orders, pays).collect()
+    assert [(r.order_id, r.attempts, float(r.paid_amount)) for r in got] == [("o", 1, 10.0)]
