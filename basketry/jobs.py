@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType, TimestampType
 
 from basketry import schemas
 from basketry.config import Settings
@@ -17,9 +18,15 @@ from basketry.plans import gold, kpi, serving, warehouse
 from basketry.session import scratch_path
 from basketry.sources.files import read_dataset
 from basketry.streaming import app, upsert_log
-from basketry.streaming.tables import replace_partitions, replace_table, write_ranked
+from basketry.streaming.tables import replace_since, replace_table, write_ranked
 
 LAST_DAY = dt.date(9998, 12, 31)
+SILVER_ORDERS = StructType(
+    [
+        *schemas.TOPIC_SCHEMAS["orders"].fields,
+        StructField("event_time", TimestampType()), StructField("order_date", DateType()),
+    ]
+)
 
 
 def bronze_orders(spark: SparkSession, settings: Settings, first_day: dt.date | None = None) -> DataFrame:
@@ -29,62 +36,94 @@ def bronze_orders(spark: SparkSession, settings: Settings, first_day: dt.date |
     return of_type(rows, "order_placed")
 
 
-def build_gold(
-    spark: SparkSession, settings: Settings, first_day: dt.date | None = None, lookback_days: int = 1
-) -> None:
-    """Rebuild the gold tables; with first_day, only the days from then on.
+def build_silver(spark: SparkSession, settings: Settings, first_day: dt.date | None = None) -> None:
+    """Write the earliest copy of each order once, by day; with first_day, only the days from then on.
 
-    A day is rebuilt with the days before it in view, so a repeated order that comes up to
-    lookback_days late is still counted once.
+    An order that silver has under an earlier day is a repeat, however late it comes. An order
+    without a usable amount is kept here, so that a later copy cannot take its place.
     """
-    since = first_day and first_day - dt.timedelta(days=lookback_days)
-    clean = gold.clean_orders(bronze_orders(spark, settings, since))
+    orders = gold.dedup_orders(bronze_orders(spark, settings, first_day))
+    orders = orders.withColumn("order_date", F.to_date("event_time")).select(*SILVER_ORDERS.fieldNames())
     if first_day is not None:
-        clean = clean.filter(F.col("order_date") >= first_day)
-    replace_partitions(
-        gold.daily_revenue(clean), settings.gold("daily_revenue"), ["order_date"], scratch_path(spark, "gold")
+        known = silver_orders(spark, settings).filter(F.col("order_date") < first_day)
+        orders = _without(orders, known, "order_id")
+    replace_since(orders, settings.silver("orders"), "order_date", first_day, scratch_path(spark, "silver"))
+
+
+def silver_orders(spark: SparkSession, settings: Settings) -> DataFrame:
+    return read_dataset(spark, settings.silver("orders"), SILVER_ORDERS)
+
+
+def _without(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The rows whose key, null or not, is not among the known ones. Both sides have a key once."""
+    known = known.select(F.col(key).alias("_seen"))
+    return rows.join(known, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+
+
+def build_gold(spark: SparkSession, settings: Settings, first_day: dt.date | None = None) -> None:
+    """Bring silver orders and all gold tables up to date.
+
+    With first_day, bronze is read from that day on, and so are the days of the daily revenue.
+    Buyers of a product and sessions reach over days, so these two are worked out from all of
+    silver, which is clean and read by column.
+    """
+    build_silver(spark, settings, first_day)
+    clean = gold.tidy_orders(silver_orders(spark, settings))
+    recent = clean if first_day is None else clean.filter(F.col("order_date") >= first_day)
+    replace_since(
+        gold.daily_revenue(recent), settings.gold("daily_revenue"), "order_date", first_day, scratch_path(spark, "gold")
     )
-    if first_day is None:
-        write_ranked(
-            gold.product_performance(clean), settings.gold("product_performance"), "total_revenue",
-            scratch_path(spark, "gold"),
-        )
-        activity = read_dataset(spark, settings.bronze("users"), schemas.bronze("users"))
-        sessions = gold.session_analytics(gold.session_events(activity, clean))
-        replace_table(sessions, settings.gold("session_analytics"), scratch_path(spark, "gold"))
-
-
-def load_warehouse(spark: SparkSession, settings: Settings, holidays: DataFrame | None = None) -> None:
-    """Load the star schema in full. Dimension tables are written before facts look them up."""
-    raw = bronze_orders(spark, settings)
-    clean = gold.clean_orders(raw)
+    write_ranked(
+        gold.product_performance(clean), settings.gold("product_performance"), "total_revenue",
+        scratch_path(spark, "gold"),
+    )
+    activity = read_dataset(spark, settings.bronze("users"), schemas.bronze("users"))
+    sessions = gold.session_analytics(gold.session_events(activity, clean))
+    replace_table(sessions, settings.gold("session_analytics"), scratch_path(spark, "gold"))
+
+
+def load_warehouse(
+    spark: SparkSession, settings: Settings, holidays: DataFrame | None = None, first_day: dt.date | None = None
+) -> None:
+    """Load the star schema from silver and gold, which build_gold has written.
+
+    Rows that the stored tables know keep their keys. With first_day, only facts from then on
+    are loaded; those before it need no rewrite, as the versions they name keep their keys.
+    Dimension tables are written before facts look them up.
+    """
+    clean = gold.tidy_orders(silver_orders(spark, settings))
     payments = read_dataset(spark, settings.bronze("payments"), schemas.bronze("payments"))
 
-    def store(name: str, df: DataFrame, schema) -> DataFrame:
-        replace_table(warehouse.as_table(df, schema), table_path(settings, name), scratch_path(spark, name))
+    def store(name: str, df: DataFrame) -> DataFrame:
+        replace_table(warehouse.as_table(df, _TABLES[name]), table_path(settings, name), scratch_path(spark, name))
         return read_table(spark, settings, name)
 
-    store("dim_date", warehouse.dim_date(clean, "event_time", holidays), schemas.DIM_DATE)
-    version = "effective_from"
-    users = warehouse.build_dimension(warehouse.user_versions(clean), ["user_id", version], "user_key")
-    users = store("dim_users", users, schemas.DIM_USERS)
-    products = warehouse.build_dimension(warehouse.product_versions(clean), ["product_id", version], "product_key")
-    products = store("dim_products", products, schemas.DIM_PRODUCTS)
+    def dimension(name: str, versions: DataFrame, natural: str, key: str) -> DataFrame:
+        known = read_table(spark, settings, name)
+        return store(name, warehouse.build_dimension(versions, [natural, "effective_from"], key, known))
 
-    # Bronze has the keys in the shares of the facts and needs no cleaning to be counted.
+    store("dim_date", warehouse.dim_date(clean, "event_time", holidays))
+    users = dimension("dim_users", warehouse.user_versions(clean), "user_id", "user_key")
+    products = dimension("dim_products", warehouse.product_versions(clean), "product_id", "product_key")
+
+    if first_day is not None:
+        clean = clean.filter(F.col("order_date") >= first_day)
+        payments = payments.filter(between_days(first_day, LAST_DAY))
+    # The stored tables have the keys in the shares of the facts.
     keyed = warehouse.with_dimension_keys(
-        clean, warehouse.Dimension(users, counted=raw), warehouse.Dimension(products, counted=raw)
+        clean, warehouse.Dimension(users, counted=clean), warehouse.Dimension(products, counted=clean)
     )
-    orders = warehouse.number_facts(warehouse.fact_orders(keyed), "order_id", "order_key")
-    _store_fact(spark, settings, "fact_orders", orders, schemas.FACT_ORDERS, "order_timestamp")
-    paid = warehouse.with_dimension_keys(
-        gold.first_payments(payments), warehouse.Dimension(users, counted=payments), None
-    )
-    facts = warehouse.number_facts(warehouse.fact_payments(paid), "payment_id", "payment_key")
-    _store_fact(spark, settings, "fact_payments", facts, schemas.FACT_PAYMENTS, "payment_timestamp")
+    _store_fact(spark, settings, "fact_orders", warehouse.fact_orders(keyed), "order", first_day)
+
+    paid = gold.first_payments(payments)
+    if first_day is not None:
+        stored = read_table(spark, settings, "fact_payments")
+        paid = _without(paid, stored.filter(F.col("date_key") < _day_number(first_day)), "payment_id")
+    paid = warehouse.with_dimension_keys(paid, warehouse.Dimension(users, counted=payments), None)
+    _store_fact(spark, settings, "fact_payments", warehouse.fact_payments(paid), "payment", first_day)
 
     daily = read_dataset(spark, settings.gold("daily_revenue"), schemas.GOLD_DAILY_REVENUE)
-    store("stg_daily_revenue", warehouse.stage_daily_revenue(daily), schemas.STG_DAILY_REVENUE)
+    store("stg_daily_revenue", warehouse.stage_daily_revenue(daily))
 
 
 def refresh_summary(spark: SparkSession, settings: Settings, first_day: dt.date) -> None:
@@ -137,7 +176,16 @@ def read_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
     return read_dataset(spark, table_path(settings, name), _TABLES[name])
 
 
-def _store_fact(spark: SparkSession, settings: Settings, name: str, df: DataFrame, schema, sort: str) -> None:
-    replace_partitions(
-        warehouse.as_table(df, schema), table_path(settings, name), ["date_key"], scratch_path(spark, name), [sort]
+def _store_fact(
+    spark: SparkSession, settings: Settings, name: str, facts: DataFrame, grain: str, first_day: dt.date | None
+) -> None:
+    known = read_table(spark, settings, name)
+    numbered = warehouse.number_facts(facts, f"{grain}_id", f"{grain}_key", known)
+    replace_since(
+        warehouse.as_table(numbered, _TABLES[name]), table_path(settings, name), "date_key",
+        first_day and _day_number(first_day), scratch_path(spark, name), [f"{grain}_timestamp"],
     )
+
+
+def _day_number(day: dt.date) -> int:
+    return int(f"{day:%Y%m%d}")

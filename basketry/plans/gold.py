@@ -21,16 +21,12 @@ def first_payments(payments: DataFrame) -> DataFrame:
 
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Deduplicated orders with a positive amount, an order date and a tidy status."""
-    return (
-        dedup_orders(orders)
-        .filter(F.col("total_amount") > 0)
-        .withColumns(
-            {
-                "order_date": F.to_date("event_time"),
-                "order_status_normalized": normalized("order_status"),
-            }
-        )
-    )
+    return tidy_orders(dedup_orders(orders).withColumn("order_date", F.to_date("event_time")))
+
+
+def tidy_orders(unique: DataFrame) -> DataFrame:
+    """Those of the deduplicated orders with a positive amount, and a tidy status."""
+    return unique.filter(F.col("total_amount") > 0).withColumn("order_status_normalized", normalized("order_status"))
 
 
 def daily_revenue(clean: DataFrame) -> DataFrame:

@@ -58,9 +58,11 @@ def product_versions(orders: DataFrame) -> DataFrame:
     return versions.withColumns({"sku": F.col("product_id"), "is_active": F.lit(True)})
 
 
-def build_dimension(versions: DataFrame, natural: list[str], key: str) -> DataFrame:
-    """Number all versions of a dimension."""
-    return assign_keys(versions, natural, key)
+def build_dimension(
+    versions: DataFrame, natural: list[str], key: str, existing: DataFrame | None = None
+) -> DataFrame:
+    """Number all versions of a dimension; those that the stored table knows keep their key."""
+    return assign_keys(versions, natural, key, existing=existing)
 
 
 def open_versions(rows: DataFrame, effective_from: Column) -> DataFrame:
@@ -135,8 +137,8 @@ def fact_payments(keyed: DataFrame, loaded_at: Column | None = None) -> DataFram
 
 
 def number_facts(facts: DataFrame, natural: str, key: str, existing: DataFrame | None = None) -> DataFrame:
-    start = 0 if existing is None else last_key(existing, key)
-    return assign_keys(facts, [natural], key, start, FACT_KEY_DIGITS)
+    """Set the key; facts that the stored table knows keep theirs."""
+    return assign_keys(facts, [natural], key, 0, FACT_KEY_DIGITS, existing)
 
 
 def stage_daily_revenue(gold: DataFrame, processed_at: Column | None = None) -> DataFrame:

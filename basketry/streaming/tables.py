@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def replace_partitions(
@@ -23,12 +23,56 @@ def replace_partitions(
     staged.write.partitionBy(*partitions).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).parquet(path)
+    delete_folder(rows.sparkSession, staging)
+
+
+def replace_since(
+    rows: DataFrame, path: str, partition: str, first: object, staging: str, sort: Sequence[str] = ()
+) -> None:
+    """Replace all partitions whose value is `first` or more, or with None the whole table.
+
+    A replaced partition that has no rows now goes. `partition` holds days, as dates or as
+    numbers of eight digits, so their list is short.
+    """
+    spark = rows.sparkSession
+    even = rows.hint("rebalance", partition)
+    if sort:
+        even = even.sortWithinPartitions(partition, *sort)
+    even.write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(rows.schema).parquet(staging)
+    staged.write.partitionBy(partition).mode("overwrite").option(
+        "partitionOverwriteMode", "static" if first is None else "dynamic"
+    ).parquet(path)
+    if first is not None:
+        filled = {f"{partition}={r[0]}" for r in staged.select(partition).distinct().collect()}
+        for name in _folders(spark, path):
+            if name.startswith(f"{partition}=") and name >= f"{partition}={first}" and name not in filled:
+                delete_folder(spark, f"{path.rstrip('/')}/{name}")
+    delete_folder(spark, staging)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
 
 
 def replace_table(rows: DataFrame, path: str, staging: str) -> None:
     """Replace a whole table; the rows may come from the table itself."""
     rows.write.mode("overwrite").parquet(staging)
     rows.sparkSession.read.schema(rows.schema).parquet(staging).write.mode("overwrite").parquet(path)
+    delete_folder(rows.sparkSession, staging)
 
 
 def write_ranked(rows: DataFrame, path: str, by: str, staging: str) -> None:

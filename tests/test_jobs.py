@@ -141,3 +141,57 @@ def test_summary_upsert_and_dashboard(spark, lake):
     assert panels["revenue_ts"].count() >= 5
     assert panels["kpis"].first().top_country in ("DE", "FR")
     assert panels["clicks"].count() >= 2
+
+
+def test_late_repeats_and_new_members(spark, tmp_path):
+    """A run over the last days equals a full one, and stored keys stay."""
+    settings = Settings(lake_root=str(tmp_path), state_partitions=2)
+    session = streaming_session(spark, settings)
+    source = f"{tmp_path}/kafka/orders"
+
+    def arrive(n, made):
+        data = [(None, json.dumps(e).encode(), "orders", 0, n * 100 + i, None, 0) for i, e in enumerate(made)]
+        spark.createDataFrame(data, schemas.KAFKA).coalesce(1).write.mode("append").parquet(source)
+        parsed = parse_events(read_record_files(session, source), schemas.TOPIC_SCHEMAS["orders"])
+        append_stream(parsed, settings.bronze("orders"), settings.checkpoint("bronze_orders")).awaitTermination()
+
+    def order(i, day, user, amount, order_id="o"):
+        return {
+            "event_type": "order_placed", "order_id": order_id and f"{order_id}{i}", "user_id": user, "product_id": f"p{i % 3}",
+            "product_name": "x", "category": "c", "quantity": 1, "unit_price": 1.0, "total_amount": amount,
+            "country": "DE", "city": "X", "order_status": "new", "timestamp": f"2024-03-{day:02}T10:{i:02}:00+00:00",
+        }
+
+    def stored():
+        names = ("daily_revenue", "product_performance", "session_analytics")
+        return [rows(spark.read.parquet(settings.gold(n))) for n in names]
+
+    def keys(name, natural, key):
+        return {tuple(r[:-1]): r[-1] for r in jobs.read_table(spark, settings, name).select(*natural, key).collect()}
+
+    members = [("dim_users", ["user_id", "effective_from"], "user_key"), ("fact_orders", ["order_id"], "order_key")]
+    arrive(0, [order(i, 1, f"u{i}", 5.0) for i in range(30)] + [order(30, 1, "u1", 0.0), order(31, 1, "u1", 5.0, None)])
+    jobs.build_gold(spark, settings)
+    jobs.load_warehouse(spark, settings)
+    before = [keys(*m) for m in members]
+    # Ten days later: repeats, one of them of an order without amount, and new users.
+    arrive(1, [order(i, 11, f"u{i}", 5.0) for i in range(5)] + [order(30, 11, "u1", 9.0), order(32, 11, "u1", 5.0, None)]
+           + [order(i, 11, f"v{i}", 5.0) for i in range(33, 50)])
+    late = dt.date(2024, 3, 11)
+    jobs.build_gold(spark, settings, late)
+    jobs.load_warehouse(spark, settings, first_day=late)
+    part = stored()
+    after = [keys(*m) for m in members]
+    for old, new in zip(before, after):
+        assert old.items() <= new.items() and len(new) == len(old) + 17 and len(set(new.values())) == len(new)
+    fact = jobs.read_table(spark, settings, "fact_orders")
+    assert quality.orphan_keys(fact, jobs.read_table(spark, settings, "dim_users"), "user_key").count() == 0
+    jobs.build_gold(spark, settings)
+    jobs.load_warehouse(spark, settings)
+    assert stored() == part and [keys(*m) for m in members] == after
+
+
+def test_stored_orders_are_read_without_a_shuffle(spark, lake):
+    orders = jobs.silver_orders(spark, lake).filter(F.col("order_date") >= dt.date(2024, 3, 4))
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "order_date" in plan.split("PartitionFilters:")[1].split("\n")[0]
