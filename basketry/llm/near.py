@@ -340,6 +340,8 @@ def _cross_links(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"),
         F.max("n").alias("most"),
     ).filter("most < all")
+    # Stored, so that the join is of two plain tables and Spark can split a large bucket.
+    largest = scratch.keep(largest)
     mixed = known.join(largest, "bucket").withColumn("outside", F.col("component") != F.col("main"))
     size = F.lit(float(settings.block))
     rows = F.ceil(F.col("all") / size).cast("int")
