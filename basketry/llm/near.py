@@ -268,12 +268,12 @@ def near_duplicates(
 
     # The best partner of each document first: that joins nearly all that belongs together.
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))
-    links = scratch.keep(_verified(best, docs, settings))
+    links = scratch.keep(_verified(best, docs, scratch, settings))
     joined = scratch.keep(components(links, scratch))
     # Then what could still join two components: other hubs in buckets of two or three members,
     # and all members of larger ones.
     rest = _between(pairs.filter("small").join(best, ["a", "b"], "left_anti"), joined)
-    more = scratch.keep(_verified(rest, docs, settings).union(_cross_links(buckets, joined, sigs, docs, scratch, settings)))
+    more = scratch.keep(_verified(rest, docs, scratch, settings).union(_cross_links(buckets, joined, sigs, docs, scratch, settings)))
     found = components(links.union(more), scratch)
 
     named = classes.select(*key, F.col("id").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -310,9 +310,10 @@ def _with(pairs: DataFrame, side: DataFrame, column: str, key: str) -> DataFrame
     return pairs.join(one, "a").join(two, "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, settings: NearSettings) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, settings: NearSettings) -> DataFrame:
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(needed, "id", "left_semi").dropDuplicates(["id"])
+    # Stored, so that Spark can split the pairs of a hub when the texts are joined.
+    texts = scratch.keep(docs.join(needed, "id", "left_semi").dropDuplicates(["id"]))
     return _with(pairs.select("a", "b"), texts, "text", "id").mapInArrow(_verify(settings), "u long, v long")
 
 
