@@ -43,7 +43,7 @@ class NearSettings:
     numerator: int = 75
     denominator: int = 100
     miss: float = 1e-4
-    block: int = 512
+    block: int = 256
 
 
 def least_matches(n: int, threshold: float, miss: float) -> int:
@@ -273,8 +273,9 @@ def near_duplicates(
     # Then what could still join two components: other hubs in buckets of two or three members,
     # and all members of larger ones.
     rest = _between(pairs.filter("small").join(best, ["a", "b"], "left_anti"), joined)
-    more = scratch.keep(_verified(rest, docs, scratch, settings).union(_cross_links(buckets, joined, sigs, docs, scratch, settings)))
-    found = components(links.union(more), scratch)
+    other = scratch.keep(_verified(rest, docs, scratch, settings))
+    across = scratch.keep(_cross_links(buckets, joined, sigs, docs, scratch, settings))
+    found = components(links.union(other).union(across), scratch)
 
     named = classes.select(*key, F.col("id").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select(*key, F.coalesce("component", "rep").alias("component_id"))
