@@ -23,6 +23,9 @@ class Settings:
     lake_root: str = "/data/lake"
     kafka_servers: str = "localhost:9092"
     kafka_min_partitions: int | None = None
+    #: Most records, or new files, that one micro-batch takes; none: all that is there.
+    max_offsets_per_trigger: int | None = None
+    max_files_per_trigger: int | None = None
     topics: dict = field(default_factory=lambda: dict(TOPICS))
     window: str = "1 minute"
     watermark: str = "10 minutes"
@@ -30,6 +33,9 @@ class Settings:
     session_gap: str = "30 minutes"
     state_partitions: int | None = None
     kpi_source: str = "bronze"
+    #: Events timed later than this after their arrival are dead letters.
+    max_ahead_minutes: int = 60
+    dedup_metrics: bool = True
     object_store_endpoint: str | None = None
 
     @classmethod
@@ -39,7 +45,12 @@ class Settings:
         for f in fields(cls):
             raw = os.environ.get(prefix + f.name.upper())
             if raw is not None and f.name != "topics":
-                found[f.name] = int(raw) if f.name in ("state_partitions", "kafka_min_partitions") else raw
+                if f.type.startswith("int"):
+                    found[f.name] = int(raw)
+                elif f.type == "bool":
+                    found[f.name] = raw.strip().lower() in ("1", "true", "yes")
+                else:
+                    found[f.name] = raw
         return replace(cls(), **found)
 
     def path(self, *parts: str) -> str:
@@ -58,6 +69,9 @@ class Settings:
     def gold(self, name: str) -> str:
         return self.path("gold", name)
 
+    def dead_letters(self, topic: str) -> str:
+        return self.path("dead_letters", topic)
+
     def metric(self, name: str) -> str:
         return self.path("metrics", name)
 

@@ -1,4 +1,7 @@
-"""Per-minute metrics over parsed events; each function serves streams and tables alike."""
+"""Per-minute metrics over parsed events; each function serves streams and tables alike.
+
+The watermark of a stream is set by who starts it (streaming.app.metric_frame).
+"""
 
 from __future__ import annotations
 
@@ -12,10 +15,8 @@ DEFAULTS = Settings()
 
 
 def _by_window(events: DataFrame, settings: Settings, *keys: str) -> GroupedData:
-    """Tumbling windows [start, end) on event_time; the watermark matters to streams only."""
-    return events.withWatermark("event_time", settings.watermark).groupBy(
-        F.window("event_time", settings.window).alias("w"), *keys
-    )
+    """Tumbling windows [start, end) on event_time."""
+    return events.groupBy(F.window("event_time", settings.window).alias("w"), *keys)
 
 
 def _flat(df: DataFrame, *columns: str | Column, end: bool = True) -> DataFrame:

@@ -31,6 +31,8 @@ def kafka_options(
         options["kafka.group.id"] = group
     if settings.kafka_min_partitions:
         options["minPartitions"] = str(settings.kafka_min_partitions)
+    if settings.max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(settings.max_offsets_per_trigger)
     return options
 
 

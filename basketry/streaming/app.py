@@ -1,6 +1,7 @@
 """The running application: which queries exist, what they read and where they write.
 
-Each topic is read and parsed once, by its bronze query. Metric queries read the bronze folder
+Each topic is parsed by its bronze query; a second small query stores the records that cannot be
+parsed. Metric queries read the bronze folder
 of their topic as a stream (or the topic itself, by setting). Each metric has its own query, as
 each needs its own state and watermark.
 """
@@ -10,17 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry import schemas
 from basketry.config import Settings
-from basketry.functions.parse import of_type, parse_events
+from basketry.functions.parse import dead_letters, of_type, parse_events
 from basketry.plans import cdc, kpi
 from basketry.session import streaming_session
 from basketry.sources.files import ensure_folder, stream_dataset
 from basketry.sources.kafka import read_cdc, read_topics
 from basketry.streaming.bronze import append_stream
+from basketry.streaming.joins import dedup_stream
 from basketry.streaming.upsert_log import upsert_stream
 
 Transform = Callable[[DataFrame, Settings], DataFrame]
@@ -35,21 +37,28 @@ class Metric:
     transform: Transform
     keys: tuple[str, ...]
     mode: str = "update"
+    #: SQL for what names an event; a repeat counts once while the watermark remembers the first.
+    id: str | None = None
+
+
+_MIXED_ID = "concat(event_type, '/', if(event_type = 'order_returned', return_id, order_id))"
 
 
 METRICS = {
-    "revenue_per_minute": Metric("orders", "order_placed", kpi.revenue_per_minute, ("window_start",)),
+    "revenue_per_minute": Metric(
+        "orders", "order_placed", kpi.revenue_per_minute, ("window_start",), id="order_id"
+    ),
     "geographic_metrics": Metric(
-        "orders", "order_placed", kpi.geographic_metrics, ("window_start", "country")
+        "orders", "order_placed", kpi.geographic_metrics, ("window_start", "country"), id="order_id"
     ),
     "product_metrics": Metric(
-        "orders", "order_placed", kpi.product_metrics, ("window_start", "product_id")
+        "orders", "order_placed", kpi.product_metrics, ("window_start", "product_id"), id="order_id"
     ),
-    "net_revenue": Metric("orders", None, kpi.net_revenue, ("window_start",)),
+    "net_revenue": Metric("orders", None, kpi.net_revenue, ("window_start",), id=_MIXED_ID),
     "returns_by_reason": Metric(
-        "orders", "order_returned", kpi.returns_by_reason, ("window_start", "reason")
+        "orders", "order_returned", kpi.returns_by_reason, ("window_start", "reason"), id="return_id"
     ),
-    "failed_payments": Metric("payments", None, kpi.failed_payments, ("window_start",)),
+    "failed_payments": Metric("payments", None, kpi.failed_payments, ("window_start",), id="payment_id"),
     "active_users": Metric("users", None, kpi.active_users_approx, ("window_start",)),
     "active_users_exact": Metric("users", None, kpi.active_users_exact, ("window_start",), "append"),
     "click_windows": Metric(
@@ -63,10 +72,19 @@ METRICS = {
 
 
 def metric_frame(name: str, events: DataFrame, settings: Settings) -> DataFrame:
-    """A metric over the parsed events of its topic."""
+    """A metric over the parsed events of its topic.
+
+    A stream leaves out repeated events; the rows of a table all count. An event without an id
+    is no repeat of another one, unless all its columns are equal.
+    """
     metric = METRICS[name]
     if metric.event_type:
         events = of_type(events, metric.event_type)
+    if events.isStreaming and metric.id and settings.dedup_metrics:
+        named = events.withColumn("_event_id", F.expr(metric.id))
+        events = dedup_stream(named, ["_event_id"], settings).drop("_event_id")
+    elif events.isStreaming:
+        events = events.withWatermark("event_time", settings.watermark)
     return metric.transform(events, settings)
 
 
@@ -84,7 +102,8 @@ def start_all(spark: SparkSession, settings: Settings, starting_offsets: str) ->
     parsed = {}
     for topic, schema in schemas.TOPIC_SCHEMAS.items():
         records = read_topics(session, settings, [settings.topics[topic]], starting_offsets)
-        parsed[topic] = parse_events(records, schema)
+        parsed[topic] = parse_events(records, schema, settings.max_ahead_minutes)
+        queries.append(start_dead_letters(topic, records, settings, settings.trigger))
         queries.append(
             append_stream(
                 parsed[topic], settings.bronze(topic), settings.checkpoint(f"bronze_{topic}"),
@@ -95,7 +114,9 @@ def start_all(spark: SparkSession, settings: Settings, starting_offsets: str) ->
         if settings.kpi_source == "bronze":
             folder = settings.bronze(metric.topic)
             ensure_folder(session, folder)
-            events = stream_dataset(session, folder, schemas.bronze(metric.topic))
+            events = stream_dataset(
+                session, folder, schemas.bronze(metric.topic), settings.max_files_per_trigger
+            )
         else:
             events = parsed[metric.topic]
         queries.append(
@@ -108,6 +129,17 @@ def start_all(spark: SparkSession, settings: Settings, starting_offsets: str) ->
     return queries
 
 
+def start_dead_letters(
+    topic: str, records: DataFrame, settings: Settings, trigger: str | None = None
+) -> StreamingQuery:
+    """Store the records of a topic that bronze leaves out, with the reason."""
+    bad = dead_letters(records, schemas.TOPIC_SCHEMAS[topic], settings.max_ahead_minutes)
+    return append_stream(
+        bad, settings.dead_letters(topic), settings.checkpoint(f"dead_letters_{topic}"), ("reason",),
+        trigger, f"dead_letters_{topic}",
+    )
+
+
 def start_cdc(
     spark: SparkSession, settings: Settings, records: DataFrame, trigger: str | None = None
 ) -> StreamingQuery:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.config import Settings
@@ -28,5 +31,12 @@ def orders_with_payments(
 
 
 def dedup_stream(events: DataFrame, keys: list[str], settings: Settings = Settings()) -> DataFrame:
-    """One event per key while the watermark remembers it."""
-    return events.withWatermark("event_time", settings.watermark).dropDuplicatesWithinWatermark(keys)
+    """One event per key while the watermark remembers it.
+
+    Events with a null key are told apart by all their columns, so that events without an id
+    are not taken for copies of each other.
+    """
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    unnamed = F.when(~complete, F.to_json(F.struct("*")))
+    timed = events.withColumn("_unnamed", unnamed).withWatermark("event_time", settings.watermark)
+    return timed.dropDuplicatesWithinWatermark([*keys, "_unnamed"]).drop("_unnamed")

@@ -196,6 +196,37 @@ def test_dedup_within_watermark(spark, session, tmp_path):
     assert rows(spark.read.schema(schemas.bronze("orders")).parquet(f"{tmp_path}/out"), "order_id") == [("o0",), ("o1",)]
 
 
+def test_events_without_an_id_are_no_repeats(spark, session, tmp_path):
+    src, table = f"{tmp_path}/src", f"{tmp_path}/table"
+    nameless = [order(0, s).replace('"order_id":"o0"', '"order_id":null') for s in (0, 1, 1)]
+    write_batches(spark, src, [[*nameless[:2], order(7, 2)], [nameless[2], order(7, 3)]])
+    app.start_metric("revenue_per_minute", stream_of(session, src), SETTINGS, table, f"{tmp_path}/cp").awaitTermination()
+    schema = metric_schema("revenue_per_minute", batch_of(spark, src))
+    got = upsert_log.read_table(spark, table, schema, ["window_start"]).first()
+    # Three events without an id, at different places of the topic, and one order told twice.
+    assert (float(got.total_revenue), got.order_count) == (4.0, 1)
+
+
+def test_a_wrong_clock_does_not_stop_the_metrics(spark, session, tmp_path):
+    settings = Settings(lake_root=str(tmp_path), state_partitions=2)
+    arrived = dt.datetime(2024, 1, 1, 12, 1)
+    texts = [order(0, 0), order(1, 86400 * 365 * 75), order(2, 10), "no json"]
+    for i, text in enumerate(texts):
+        row = [(None, text.encode(), "orders", 0, i, arrived, 0)]
+        spark.createDataFrame(row, schemas.KAFKA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/src")
+    records = read_record_files(session, f"{tmp_path}/src", 1)
+    events = parse_events(records, schemas.ORDERS_TOPIC, settings.max_ahead_minutes)
+    query = app.start_metric("revenue_per_minute", events, settings, f"{tmp_path}/table", f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert late_rows(query) == 0
+    schema = metric_schema("revenue_per_minute", batch_of(spark, f"{tmp_path}/src"))
+    got = upsert_log.read_table(spark, f"{tmp_path}/table", schema, ["window_start"])
+    assert rows(got.select(F.minute("window_start").alias("m"), "order_count")) == [(0, 2)]
+    app.start_dead_letters("orders", records, settings).awaitTermination()
+    bad = spark.read.parquet(settings.dead_letters("orders"))
+    assert rows(bad, "offset", "reason") == [(1, "ahead of its arrival"), (3, "no timestamp")]
+
+
 def test_output_modes_and_keys_of_all_metrics(spark):
     for name, metric in app.METRICS.items():
         empty = spark.createDataFrame([], schemas.bronze(metric.topic))
