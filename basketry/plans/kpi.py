@@ -88,6 +88,19 @@ def active_users_exact(activity: DataFrame, settings: Settings = DEFAULTS) -> Da
     return _flat(agg, "active_user_count")
 
 
+def with_open_windows(
+    closed: DataFrame, activity: DataFrame, latest: Column, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Exact user counts of closed windows, and of those that the watermark still holds open.
+
+    The open ones are counted from the events of the last watermark and window before `latest`,
+    the newest event time.
+    """
+    start = latest - F.expr(f"INTERVAL {settings.watermark}") - F.expr(f"INTERVAL {settings.window}")
+    recent = active_users_exact(activity.filter(F.col("event_time") >= start), settings)
+    return closed.unionByName(recent.join(closed, "window_start", "left_anti"))
+
+
 def click_windows(clicks: DataFrame, exact: bool = False, settings: Settings = DEFAULTS) -> DataFrame:
     """Page views, distinct sessions and the page seen first; exact counts are for tables."""
     distinct = F.count_distinct if exact else F.approx_count_distinct

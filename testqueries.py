@@ -192,8 +192,10 @@ def kpi_failed_payments_stream(spark, sf):
 
 @query
 def kpi_active_users_exact_stream(spark, sf):
-    """Closed windows only: an exact count is sent when the watermark has passed the window."""
-    return _drain(spark, sf, "active_users_exact", tv.activity)
+    """Windows that the watermark has passed from the stream, the last ones counted from the table."""
+    closed = _drain(spark, sf, "active_users_exact", tv.activity)
+    ev = tv.events(spark, sf)
+    return kpi.with_open_windows(closed, tv.activity(ev), tv.latest(ev, "event_time"))
 
 
 @query
@@ -203,9 +205,14 @@ def kpi_active_users_approx_stream(spark, sf):
 
 @query
 def kpi_clickstream_stream(spark, sf):
-    windows = _drain(spark, sf, "click_windows", tv.clicks)
+    """The estimate of sessions is given as the exact count and whether it is within 15 % of it."""
+    windows = _drain(spark, sf, "click_windows", tv.clicks).withColumnRenamed("unique_sessions", "estimate")
     pages = _drain(spark, sf, "page_windows", tv.clicks)
-    return kpi.clickstream_metrics(windows.drop("unique_sessions"), pages)
+    exact = kpi.click_windows(tv.clicks(tv.events(spark, sf)), exact=True).select("window_start", "unique_sessions")
+    off = F.abs(F.col("estimate") - F.col("unique_sessions"))
+    close = off <= F.greatest(F.lit(1.0), 0.15 * F.col("unique_sessions"))
+    windows = windows.join(exact, "window_start").withColumn("within", close).drop("estimate")
+    return kpi.clickstream_metrics(windows, pages)
 
 
 @query

@@ -28,6 +28,14 @@ def test_object_store_options():
     assert not any("s3a" in k for k in session_options(Settings()))
 
 
+def test_batches_can_be_bounded(monkeypatch):
+    monkeypatch.setenv("BASKETRY_MAX_OFFSETS_PER_TRIGGER", "1000")
+    monkeypatch.setenv("BASKETRY_DEDUP_METRICS", "false")
+    s = Settings.from_env()
+    assert kafka.kafka_options(s, ["orders"], "earliest")["maxOffsetsPerTrigger"] == "1000"
+    assert s.dedup_metrics is False and s.max_ahead_minutes == 60
+
+
 def test_kafka_options():
     s = Settings(kafka_servers="k:9092", kafka_min_partitions=24)
     opts = kafka.kafka_options(s, ["orders"], "latest", group="g")
