@@ -110,6 +110,39 @@ def test_repeated_passages_cover_brute_force(spark, corpus):
     assert passages.repeated_passages(docs.limit(0)).count() == 0
 
 
+def test_passages_that_the_smallest_document_holds_in_part(spark):
+    """Partial quotes and edited copies: what later documents share with each other only."""
+    rnd = random.Random(14)
+    new = lambda n: [f"w{rnd.randrange(50000)}" for _ in range(n)]
+    texts = []
+    for quotes in ([slice(0, 40), slice(20, 60)], [slice(0, 45)], [slice(0, 49)], []):
+        for _ in range(6):
+            passage = new(60)
+            texts += [new(40) + passage[q] + new(40) for q in quotes]
+            texts += [new(40) + passage + new(40) for _ in range(3)]
+    for _ in range(8):
+        base = new(120)
+        for _ in range(6):
+            copy = list(base)
+            for k in rnd.sample(range(120), 2):
+                copy[k] = new(1)[0]
+            texts.append(new(40) + copy + new(40))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for block in (512, 2):
+        got = {}
+        for r in passages.repeated_passages(docs, settings=passages.PassageSettings(block=block)).collect():
+            a = texts[r.doc_id][r.first_word : r.first_word + r.n_words]
+            b = texts[r.kept_doc_id][r.kept_first_word : r.kept_first_word + r.kept_n_words]
+            assert r.kept_doc_id < r.doc_id and len(a) >= 50 and similar(shingles(a), shingles(b))
+            got.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.n_words))
+        seen = set()
+        for i, t in enumerate(texts):
+            own = [tuple(t[j : j + 50]) for j in range(len(t) - 49)]
+            want = {p for j, x in enumerate(own) if x in seen for p in range(j, j + 50)}
+            assert want <= got.get(i, set())
+            seen.update(own)
+
+
 def test_leaks_are_those_of_brute_force(spark):
     rnd = random.Random(6)
     items = [(k, " ".join(f"b{rnd.randrange(900)}" for _ in range(n))) for k, n in enumerate([3, 8, 15, 21, 30, 57])] + [(9, None), (10, "")]
