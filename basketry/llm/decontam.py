@@ -1,13 +1,11 @@
-"""Benchmark decontamination: SimHash of windows, multi-index lookup, exact verification.
+"""Benchmark decontamination: lookup of the rarest shingles of each item, exact verification.
 
-Each benchmark item belongs to a window size of about its own length. Every stretch of that size
-in an item gets a 64-bit SimHash of its words, a word weighing as many points as it has bytes.
-Over a document the same fingerprints come from running sums, at steps so close that every
-passage as long as the item holds at least one window that lies inside it. Fingerprints are found
-through four blocks of 16 bits: two fingerprints within the radius of 7 agree in one block up to
-one bit, so looking each block up with all its neighbours by one bit misses none of them. A
-window that is found gives the place where the item would lie; there the multisets of five-word
-shingles are compared, and a weighted Jaccard similarity of the threshold or more is a leak.
+A document is compared with an item at every place, over as many words as the item has, by the
+weighted Jaccard similarity of the multisets of five-word shingles. A place that reaches the
+threshold holds most shingles of the item, so of any of them that are one more than it may lack it
+holds one. These are taken for each item, those first that fewest items have, and looked up in a
+sorted table. Around each shingle that is found the similarity is worked out for all places at
+once from running sums. So no place of the threshold or more is left out.
 
 Documents are read once for each block of items, without a shuffle. Items are taken in blocks of
 bounded size, so what is sent to the tasks does not grow with the benchmark.
@@ -29,137 +27,114 @@ from basketry.llm.ship import ship
 
 @dataclass(frozen=True)
 class LeakSettings:
-    """Radius of the lookup (under 8), threshold as a ratio, bytes of items at a time."""
+    """Threshold as a ratio, bytes of items at a time, bytes of the longest item."""
 
-    radius: int = 7
     numerator: int = 75
     denominator: int = 100
     block_bytes: int = 4 << 20
     longest_item: int = 1 << 20
 
 
-def window_sizes(longest: int) -> list[tuple[int, int]]:
-    """Sizes in words, each half as long again as the one before, and the step of each."""
-    out, size = [], 1
-    while size <= longest:
-        out.append((size, max(size // 4, 1)))
-        size = max(size + 1, size * 3 // 2)
-    return out
-
-
-def window_of(n: int, sizes: list[tuple[int, int]]) -> tuple[int, int]:
-    """The largest window for an item of n words that fits in at every shift of a step."""
-    return max((s for s in sizes if s[0] + s[1] - 1 <= n), default=sizes[0])
-
-
-def _votes(words: W.Words) -> np.ndarray:
-    """Running sums, over the words, of the votes of each word on 64 bits."""
-    bits = np.unpackbits(words.hash.view(np.uint8).reshape(-1, 8), axis=1)
-    weight = np.minimum(words.size, 1 << 10).astype(np.int32)
-    votes = np.where(bits, weight[:, None], -weight[:, None])
-    out = np.zeros((words.hash.size + 1, 64), np.int32)
-    np.cumsum(votes, axis=0, out=out[1:])
-    return out
-
-
-def _simhash(votes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    return np.packbits(votes[at + size] > votes[at], axis=1).view(np.uint64).reshape(-1)
-
-
-def _window_starts(start: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words of the windows of all texts, at each step and at the very end; their text."""
-    n = np.diff(start)
-    count = np.where(n >= size, (n - size) // step + 1, 0)
-    owner = np.repeat(np.arange(n.size), count)
-    at = W.spread(np.zeros(n.size, np.int64), count) * step + start[:-1][owner]
-    return at, owner
-
-
-class Index:
-    """Fingerprints of one window size, by 16-bit block with all neighbours by one bit."""
-
-    def __init__(self, prints: np.ndarray, item: np.ndarray, shift: np.ndarray, radius: int) -> None:
-        self.prints, self.item, self.shift, self.radius = prints, item, shift, radius
-        near = np.concatenate([[0], 1 << np.arange(16)]).astype(np.int64)
-        self.blocks = []
-        for b in range(4):
-            own = (prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)
-            keys = (own[:, None] ^ near).reshape(-1)
-            rows = np.repeat(np.arange(prints.size), near.size)
-            order = np.argsort(keys, kind="stable")
-            count = np.bincount(keys, minlength=1 << 16)
-            self.blocks.append((rows[order], np.cumsum(count) - count, count))
-
-    def find(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs (row of `prints`, row of the index) within the radius."""
-        found = [np.zeros((2, 0), np.int64)]
-        for b, (rows, first, count) in enumerate(self.blocks):
-            own = (prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)
-            n = count[own]
-            live = np.flatnonzero(n)
-            mine = np.repeat(live, n[live])
-            theirs = rows[W.spread(first[own[live]], n[live])]
-            close = np.bitwise_count(prints[mine] ^ self.prints[theirs]) <= self.radius
-            found.append(np.stack([mine[close], theirs[close]]))
-        mine, theirs = np.unique(np.concatenate(found, axis=1), axis=1)
-        return mine, theirs
+class Lookup:
+    """Shingles of the items of one block that are cut into shingles of `size` words."""
+
+    def __init__(self, values: list[np.ndarray], items: list[int], settings: LeakSettings) -> None:
+        self.items, self.settings = items, settings
+        self.total = [v.size for v in values]
+        self.sets = [np.unique(v, return_counts=True) for v in values]
+        value, count = (np.concatenate(c) for c in zip(*self.sets))
+        owner = np.repeat(np.arange(len(items)), [v.size for v, _ in self.sets])
+        _, same, common = np.unique(value, return_inverse=True, return_counts=True)
+        order = np.lexsort((value, common[same], owner))
+        value, count, owner = value[order], count[order], owner[order]
+        total = np.array(self.total)
+        lacking = total - -(-settings.numerator * total // settings.denominator)
+        before = np.cumsum(count) - count
+        before -= before[np.searchsorted(owner, owner)]
+        chosen = before <= lacking[owner]
+        value, owner = value[chosen], owner[chosen]
+        order = np.argsort(value, kind="stable")
+        self.owner = owner[order]
+        self.keys, self.first, self.count = np.unique(value[order], return_index=True, return_counts=True)
+
+    def find(self, values: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Text, item, first and last place of the chosen shingles of the item in the text."""
+        slot = np.minimum(np.searchsorted(self.keys, values), self.keys.size - 1)
+        at = np.flatnonzero(self.keys[slot] == values)
+        count = self.count[slot[at]]
+        item = self.owner[W.spread(self.first[slot[at]], count)]
+        at = np.repeat(at, count)
+        text = np.searchsorted(start, at, "right") - 1
+        order = np.lexsort((at, item, text))
+        text, item, at = text[order], item[order], at[order]
+        edge = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
+        last = np.append(edge[1:], at.size)[: edge.size] - 1
+        yield from zip(text[edge].tolist(), item[edge].tolist(), (at[edge] - start[text[edge]]).tolist(), (at[last] - start[text[edge]]).tolist())
+
+    def best(self, values: np.ndarray, k: int, first: int, last: int) -> tuple[float, int] | None:
+        """Similarity and place of the best place that holds one of the places `first` to `last`."""
+        total, (own, limit) = self.total[k], self.sets[k]
+        lo = max(first - total + 1, 0)
+        near = values[lo : last + total]
+        slot = np.minimum(np.searchsorted(own, near), own.size - 1)
+        at = np.flatnonzero(own[slot] == near)
+        if at.size * self.settings.denominator < total * self.settings.numerator:
+            return None
+        slot, at = slot[at], at + lo
+        order = np.argsort(slot, kind="stable")
+        slot, at = slot[order], at[order]
+        # One of a shingle's occurrences counts unless as many as the item has come before it.
+        earlier = np.arange(at.size) - limit[slot]
+        full = earlier >= np.searchsorted(slot, slot)
+        since = np.where(full, at[np.maximum(earlier, 0)] + 1, at - total + 1)
+        since = np.maximum(since, at - total + 1)
+        places = np.arange(lo - total + 1, last + 1)
+        edges = np.zeros(places.size + total + 1, np.int64)
+        np.add.at(edges, since - places[0], 1)
+        np.add.at(edges, at + 1 - places[0], -1)
+        both = np.cumsum(edges)[: places.size]
+        present = np.minimum(places + total, values.size) - np.maximum(places, 0)
+        union = present + total - both
+        good = np.flatnonzero(both * self.settings.denominator >= self.settings.numerator * union)
+        if not good.size:
+            return None
+        similarity = both[good] / union[good]
+        ties = places[good[similarity == similarity.max()]]
+        return float(similarity.max()), int(ties[ties <= 0].max() if (ties <= 0).any() else ties.min())
 
 
 class Items:
-    """Items of one block: their shingles and an index for each window size."""
+    """Items of one block: a lookup for each size of shingles."""
 
     def __init__(self, ids: list[int], texts: list[str], settings: LeakSettings) -> None:
         self.ids = ids
-        self.settings = settings
         words = W.split_words(pa.array(texts, pa.string()))
-        n = np.diff(words.start)
-        self.size = n
+        self.size = np.diff(words.start)
         values, cut = W.shingles(words)
-        self.shingles = [np.unique(values[a:b], return_counts=True) for a, b in zip(cut[:-1], cut[1:])]
-        sizes = window_sizes(max(int(n.max(initial=1)), 1))
-        by_size: dict[tuple[int, int], list[int]] = {}
-        for k in range(len(ids)):
-            if n[k]:
-                by_size.setdefault(window_of(int(n[k]), sizes), []).append(k)
-        votes = _votes(words)
-        self.index: dict[tuple[int, int], Index] = {}
-        for (size, step), items in sorted(by_size.items()):
-            at = np.concatenate([np.arange(words.start[k], words.start[k + 1] - size + 1) for k in items])
-            owner = np.concatenate([np.full(n[k] - size + 1, k) for k in items])
-            self.index[size, step] = Index(_simhash(votes, at, size), owner, at - words.start[owner], settings.radius)
+        by_size: dict[int, list[int]] = {}
+        for k in np.flatnonzero(self.size).tolist():
+            by_size.setdefault(min(int(self.size[k]), W.SHINGLE), []).append(k)
+        self.lookups = {
+            size: Lookup([values[cut[k] : cut[k + 1]] for k in items], items, settings)
+            for size, items in sorted(by_size.items())
+        }
 
     def leaks(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, float]]:
         """Text, item, first word, number of words and similarity of the best place of each item."""
         words = W.split_words(texts)
         if not words.hash.size:
             return
-        votes = _votes(words)
-        found = [np.zeros((3, 0), np.int64)]
-        for (size, step), index in self.index.items():
-            at, owner = _window_starts(words.start, size, step)
-            mine, theirs = index.find(_simhash(votes, at, size))
-            found.append(np.stack([owner[mine], index.item[theirs], at[mine] - index.shift[theirs] - words.start[owner[mine]]]))
-        places = np.unique(np.concatenate(found, axis=1), axis=1)
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for doc, item, first in places.T.tolist():
-            lo = words.start[doc] + max(first, 0)
-            hi = min(words.start[doc] + first + self.size[item], words.start[doc + 1])
-            if hi <= lo or best.get((doc, item), (0.0,))[0] == 1.0:
-                continue
-            part = W.Words(words.hash[lo:hi], words.size[lo:hi], words.begin[lo:hi], np.array([0, hi - lo]))
-            similarity = _weighted(np.unique(W.shingles(part)[0], return_counts=True), self.shingles[item])
-            if similarity * self.settings.denominator >= self.settings.numerator:
-                place = (similarity, -int(lo - words.start[doc]), int(hi - lo))
-                best[doc, item] = max(best.get((doc, item), place), place)
-        for (doc, item), (similarity, first, n) in sorted(best.items()):
-            yield doc, item, -first, n, similarity
-
-
-def _weighted(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][i], b[1][j]).sum())
-    return both / (int(a[1].sum()) + int(b[1].sum()) - both)
+        n = np.diff(words.start)
+        found = []
+        for size, lookup in self.lookups.items():
+            values, start = W.shingles(words, size)
+            for doc, k, first, last in lookup.find(values, start):
+                best = lookup.best(values[start[doc] : start[doc + 1]], k, first, last)
+                if best is not None:
+                    item, (similarity, place) = lookup.items[k], best
+                    lo = max(place, 0)
+                    found.append((doc, item, lo, int(min(place + self.size[item], n[doc])) - lo, similarity))
+        yield from sorted(found)
 
 
 LEAKS = "doc_id long, item_id long, first_word long, n_words long, similarity double"

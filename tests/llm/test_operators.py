@@ -5,6 +5,7 @@ import os
 import random
 import re
 import sys
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,6 +167,47 @@ def test_leaks_are_those_of_brute_force(spark):
     assert got == want and len(got) >= 6
 
 
+def test_leaks_with_replaced_words(spark):
+    """Copies close to the threshold, as blocks or single words, in items of all lengths."""
+    rnd = random.Random(16)
+    bag = lambda ws: Counter(tuple(ws[j : j + 5]) for j in range(max(1, len(ws) - 4))) if ws else Counter()
+
+    def similarity(a, b):
+        both = sum((a & b).values())
+        return both / max(sum(a.values()) + sum(b.values()) - both, 1)
+
+    items = [[f"b{rnd.randrange(9999)}" * rnd.choice([1, 1, 1, 6]) for _ in range(n)] for n in (40, 60, 80, 120, 200, 400)]
+    items += [["x", "y", "z"] * 17, ["one", "two"], ["solo"]]
+    docs = [["y", "z", "x"] * 15 + ["q"] + ["x", "y", "z"] * 16, ["a", "one", "two"], ["solo"], items[2][9:], items[3][:-12]]
+    for item in items[:6]:
+        for row in (1, 2, 4, 8, 16, 24, 48):
+            for _ in range(2):
+                copy, at = list(item), rnd.randrange(len(item))
+                copy[at : at + row] = [f"r{rnd.randrange(9999)}" for _ in copy[at : at + row]]
+                docs.append([f"c{rnd.randrange(99)}" for _ in range(30)] + copy + ["tail"] * 30)
+        for changes in (1, 2, 3, 5, 9):
+            copy = list(item)
+            for at in rnd.sample(range(len(item)), changes):
+                copy[at] = "replaced" * 3
+            docs.append(["c"] * 7 + copy + ["tail"] * 30)
+    rows = decontam.leaks(
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string"),
+    ).collect()
+    got = {(r.doc_id, r.item_id): (r.similarity, r.first_word, r.n_words) for r in rows}
+    want = {}
+    for (i, w), (k, own) in itertools.product(enumerate(docs), enumerate(items)):
+        if not set(w) & set(own):
+            continue
+        bags = [(bag(w[max(j, 0) : max(j + len(own), 0)]), j) for j in range(1 - len(own), len(w))]
+        most, j = max((similarity(b, bag(own)), -max(j, 0)) for b, j in bags)
+        if most >= 0.75:
+            places = [(s, -max(j, 0), min(j + len(own), len(w)) - max(j, 0)) for b, j in bags if (s := similarity(b, bag(own))) == most]
+            s, first, n = max(places)
+            want[i, k] = (s, -first, n)
+    assert got == want and len(want) > 30
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
