@@ -35,7 +35,8 @@ _random = np.random.default_rng(71)
 
 @dataclass(frozen=True)
 class NearSettings:
-    """Hashes, bands, hashes compared at a time, threshold as a ratio, miss probability."""
+    """Hashes, bands, hashes compared at a time, threshold as a ratio, miss probability at
+    each look, by the posterior; over all four looks a pair of 0.75 is missed with 4.6e-4."""
 
     hashes: int = 128
     bands: int = 32
