@@ -346,3 +346,13 @@ def test_pipeline_keeps_clean_documents(spark):
     rows = out.collect()
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in rows)
     assert 0 < len(rows) < spark.read.parquet(f"{DATA}/documents.parquet").count()
+
+
+def test_documents_that_share_less_than_a_passage(spark):
+    rnd = random.Random(8)
+    shared = [f"s{i}" for i in range(49)]
+    texts = [" ".join([f"a{rnd.randrange(9999)}" for _ in range(60)] + shared) for _ in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = passages.repeated_passages(docs.coalesce(1))
+    assert all(r.n_words < 66 for r in found.collect())
+    assert [r.text for r in passages.without_passages(docs, found.filter("false")).orderBy("doc_id").collect()] == texts
