@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import bpe, chat, decontam, extract, language, near, passages, quality, topk, urls
+from basketry.llm import bpe, chat, decontam, extract, language, near, passages, quality, topk, urls, whiten
 from basketry.llm.scratch import Scratch
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,6 +86,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(read(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -99,7 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_perspectives, op2_decontamination, op3_bpe, op4_url_filter, op5_html_text,
-        op6_near_duplicates, op7_language, op8_quality, op9_repeated_passages, op10_top_k, pipeline,
+        op6_near_duplicates, op7_language, op8_quality, op9_repeated_passages, op10_top_k, op11_whitening, pipeline,
     )
 }
 
