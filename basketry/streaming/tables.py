@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Fixed value: the folder name of a null partition.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def replace_partitions(
     rows: DataFrame, path: str, partitions: Sequence[str], staging: str, sort: Sequence[str] = ()
@@ -32,7 +35,8 @@ def replace_since(
     """Replace all partitions whose value is `first` or more, or with None the whole table.
 
     A replaced partition that has no rows now goes. `partition` holds days, as dates or as
-    numbers of eight digits, so their list is short.
+    numbers of eight digits, so their list is short. Rows without a day have a folder of their
+    own, which is replaced if the rows have any and else stays.
     """
     spark = rows.sparkSession
     even = rows.hint("rebalance", partition)
@@ -46,7 +50,8 @@ def replace_since(
     if first is not None:
         filled = {f"{partition}={r[0]}" for r in staged.select(partition).distinct().collect()}
         for name in _folders(spark, path):
-            if name.startswith(f"{partition}=") and name >= f"{partition}={first}" and name not in filled:
+            day = name.removeprefix(f"{partition}=")
+            if day != name and day != NO_VALUE and day >= str(first) and name not in filled:
                 delete_folder(spark, f"{path.rstrip('/')}/{name}")
     delete_folder(spark, staging)
 

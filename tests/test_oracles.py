@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 
+import __spark_entry__
 import oracles
 import testqueries
 
@@ -66,3 +67,10 @@ def test_approximate_users_are_close(spark, sf, duck, suffix):
 
 def test_entry_runs(spark, sf):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_entry_lists_all_queries():
+    """With the training-data operators if they are there, and without them if not."""
+    names = set(__spark_entry__.queries())
+    assert set(QUERIES) <= names and set(__spark_entry__.oracle_sql()) <= names
+    assert (names > set(QUERIES)) == (__spark_entry__.llm is not None)

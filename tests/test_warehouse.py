@@ -136,3 +136,15 @@ def test_payment_retries_count_per_order(spark):
         "order_id string, event_time timestamp, status string, amount double")
     got = rows(analytics.order_payments(orders, pays), "order_id", "attempts", "failures", "paid_amount")
     assert got == [("lonely", 0, 0, 0), ("o", 41, 40, 5)]
+
+
+def test_replaced_days_leave_rows_without_a_day(spark, tmp_path):
+    from basketry.streaming.tables import replace_since
+
+    schema, path = "v int, day date", f"{tmp_path}/t"
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    replace_since(spark.createDataFrame([(1, days[0]), (2, days[1]), (3, days[2]), (4, None)], schema), path, "day", None, f"{tmp_path}/s")
+    replace_since(spark.createDataFrame([(5, days[1]), (6, None)], schema), path, "day", days[1], f"{tmp_path}/s")
+    assert rows(spark.read.schema(schema).parquet(path), "v") == [(1,), (5,), (6,)]
+    replace_since(spark.createDataFrame([(7, days[2])], schema), path, "day", days[2], f"{tmp_path}/s")
+    assert rows(spark.read.schema(schema).parquet(path), "v") == [(1,), (5,), (6,), (7,)]
