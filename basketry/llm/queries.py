@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import bpe, chat, decontam, extract, language, near, passages, quality, topk, urls, whiten
+from basketry.llm import bpe, chat, decontam, extract, language, near, passages, phrases, quality, topk, urls, whiten
 from basketry.llm.scratch import Scratch
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +90,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents")).drop("cut")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -103,7 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_perspectives, op2_decontamination, op3_bpe, op4_url_filter, op5_html_text,
-        op6_near_duplicates, op7_language, op8_quality, op9_repeated_passages, op10_top_k, op11_whitening, pipeline,
+        op6_near_duplicates, op7_language, op8_quality, op9_repeated_passages, op10_top_k, op11_whitening,
+        op13_collocations, pipeline,
     )
 }
 
@@ -154,5 +159,42 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
+""",
+    "op13_collocations": r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda w: w <> '') AS w FROM cut
+), n AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+        lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM words, (SELECT unnest(range(1, 6)) AS size) AS sizes
+), f AS (
+    SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, phrase, a, size, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS w FROM f WHERE size > 1
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.size, k, l.a AS l, r.a AS r, n,
+        CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM cuts c JOIN n ON n.lang = c.lang
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, size, a, unnest(list_transform(range(1, size - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM cuts WHERE k > 1
+), longer AS (
+    SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase
+), kept AS (
+    SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE coalesce(100 * most < 100 * a, true)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
 """,
 }
