@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import bpe, chat, decontam, extract, language, near, passages, phrases, quality, topk, urls, whiten
+from basketry.llm import bpe, chat, combos, decontam, extract, language, near, passages, phrases, quality, topk, urls, whiten
 from basketry.llm.scratch import Scratch
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +90,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combos.similarity_components(read(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents")).drop("cut")
 
@@ -108,7 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_chat_perspectives, op2_decontamination, op3_bpe, op4_url_filter, op5_html_text,
         op6_near_duplicates, op7_language, op8_quality, op9_repeated_passages, op10_top_k, op11_whitening,
-        op13_collocations, pipeline,
+        op12_jaccard_join, op13_collocations, pipeline,
     )
 }
 
