@@ -140,9 +140,9 @@ def _levels(n: int, settings: JoinSettings) -> range:
 
 def signatures(own: np.ndarray, step: np.ndarray, last: tuple[int, int], settings: JoinSettings) -> np.ndarray:
     """The index entries of a set of distinct shingles, whose steps of frequency are given."""
+    if settings.denominator * own.size // settings.numerator == own.size:
+        return np.zeros(0, np.uint64)  # every partner is the same set
     need = settings.lacking(own.size) + 1
-    if need == 1:  # every partner is the same set
-        return np.zeros(0, np.uint64)
     ranked = np.sort(step.astype(np.uint64) << np.uint64(56) | own >> np.uint64(8))
     rare = int(np.searchsorted(ranked, np.uint64(last[0] + 1) << np.uint64(56)))
     if rare >= need:

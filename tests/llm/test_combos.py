@@ -44,7 +44,7 @@ def corpus(seed):
     """Copies of all degrees, frequent lines, passages, short, empty and long texts."""
     rnd = random.Random(seed)
     new = lambda n: [f"w{rnd.randrange(4000)}" for _ in range(n)]
-    texts = [None, "", " \t", "one", "ONE", "one two", "a b c d e", "a b c d e f", "a b c d e f g h i j k l", "a b c d e f g h i j k l m"]
+    texts = [None, "", " \t", "one", "ONE", "one two", "a b c d e", "a b c d e f", "a b c d e f g h i", "a b c d e f g h i j", "a b c d e f g h i j k l", "a b c d e f g h i j k l m"]
     for size in (12, 30, 90, 200):
         for _ in range(3):
             base = new(size)
