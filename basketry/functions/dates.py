@@ -62,3 +62,12 @@ def calendar_columns(date: str) -> dict[str, Column]:
         "day_name": F.date_format(d, "EEEE"),
         "is_weekend": F.dayofweek(d).isin(1, 7),
     }
+
+
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds_of(span: str) -> int:
+    """The seconds of a setting such as "30 minutes"."""
+    number, unit = span.split()
+    return int(number) * _SECONDS[unit.removesuffix("s")]

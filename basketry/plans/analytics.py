@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions.dates import as_column, date_key
 from basketry.functions.scalars import money, percent, ratio
+from basketry.operators.funnel import funnel_steps
 from basketry.operators.intervals import trailing_counts
-from basketry.operators.ranking import top_n
+from basketry.operators.ranking import first_per_key, top_n
 from basketry.operators.skew import lookup_join, skew_join
-from basketry.plans.gold import dedup_orders, first_payments
+from basketry.plans.gold import dedup_orders
 
 
 def daily_trend(fact: DataFrame, dim_date: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -144,16 +145,13 @@ def order_payments(orders: DataFrame, payments: DataFrame, minutes: int = 10) ->
     the orders are brought in again.
     """
     orders = dedup_orders(orders.filter("order_id is not null"))
-    if "payment_id" in payments.columns:
-        payments = first_payments(payments.filter("payment_id is not null")).unionByName(
-            payments.filter("payment_id is null")
-        )
+    raw, payments = payments, _each_payment_once(payments)
     asked = orders.select("order_id", F.col("event_time").alias("ordered_at"))
     late = F.col("ordered_at") + F.make_dt_interval(mins=F.lit(minutes))
     in_time = F.col("event_time").between(F.col("ordered_at"), late)
     paid = skew_join(
         payments.select("order_id", "event_time", "status", money("amount").alias("amount")),
-        asked, ["order_id"], "inner", in_time,
+        asked, ["order_id"], "inner", in_time, counted=raw,
     )
     ok = F.col("status") == "success"
     per_order = paid.groupBy("order_id").agg(
@@ -167,6 +165,16 @@ def order_payments(orders: DataFrame, payments: DataFrame, minutes: int = 10) ->
     ).fillna(0, ["attempts", "failures", "paid_amount"])
 
 
+def _each_payment_once(payments: DataFrame) -> DataFrame:
+    """The earliest copy of each payment, and all payments without an id, which are no copies."""
+    if "payment_id" not in payments.columns:
+        return payments
+    # Without an id a row is told apart by where it was read.
+    own = F.when(F.col("payment_id").isNull(), F.monotonically_increasing_id())
+    named = payments.withColumn("_own", own)
+    return first_per_key(named, ["payment_id", "_own"], [F.col("event_time").asc_nulls_last()]).drop("_own")
+
+
 def clicks_before_purchase(events: DataFrame, minutes: int = 10) -> DataFrame:
     """For each purchase the clicks of the same user in the minutes before it.
 
@@ -178,3 +186,23 @@ def clicks_before_purchase(events: DataFrame, minutes: int = 10) -> DataFrame:
         events.filter(clicks | (F.col("event_type") == "purchase")), "user_id", "event_time", clicks, minutes * 60
     )
     return seen.filter(F.col("event_type") == "purchase")
+
+
+def shopping_events(clicks: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """What users do on their way to a payment, as one stream of events. Clicks may name their kind
+    in event_type; all others count as views."""
+    kind = F.col("event_type") if "event_type" in clicks.columns else F.lit(None)
+    step = F.when(kind == "click", "click").otherwise("view")
+    seen = clicks.select("user_id", "event_time", step.alias("step"))
+    bought = orders.select("user_id", "event_time", F.lit("order").alias("step"))
+    paid = payments.filter(F.col("status") == "success").select("user_id", "event_time", F.lit("payment").alias("step"))
+    return seen.unionByName(bought).unionByName(paid)
+
+
+def shopping_funnel(
+    clicks: DataFrame, orders: DataFrame, payments: DataFrame, minutes: int = 30,
+    steps: tuple[str, ...] = ("view", "click", "order", "payment"),
+) -> DataFrame:
+    """How many users view, then click, then order, then pay within some minutes of the view."""
+    events = shopping_events(clicks, orders, payments)
+    return funnel_steps(events, "user_id", "event_time", {s: F.col("step") == s for s in steps}, minutes * 60)

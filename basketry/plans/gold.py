@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.scalars import money, normalized, ratio
 from basketry.operators.ranking import first_per_key
@@ -57,13 +57,11 @@ def session_events(activity: DataFrame, orders: DataFrame) -> DataFrame:
     return bought.unionByName(visits, allowMissingColumns=True)
 
 
+def session_measures() -> dict[str, Column]:
+    bought = F.col("event_type") == "purchase"
+    return {"purchases": bought.cast("int"), "value": F.when(bought, money("value"))}
+
+
 def session_analytics(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """Per session of a user: length, events, purchases and their value."""
-    bought = F.col("event_type") == "purchase"
-    return sessionize(
-        events,
-        "user_id",
-        "event_time",
-        gap_minutes * 60,
-        {"purchases": bought.cast("int"), "value": F.when(bought, money("value"))},
-    )
+    return sessionize(events, "user_id", "event_time", gap_minutes * 60, session_measures())

@@ -18,7 +18,8 @@ from basketry.plans import analytics, cdc, gold, kpi, quality, serving, warehous
 from basketry.session import scratch_path, streaming_session
 from basketry.streaming import app, upsert_log
 from basketry.streaming.bronze import append_stream
-from basketry.streaming.joins import orders_with_payments
+from basketry.streaming.joins import orders_with_payments, with_open_orders
+from basketry.streaming.sessions import session_stream, with_open_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,18 +231,54 @@ def kpi_net_revenue_stream(spark, sf):
     return _drain(spark, sf, "net_revenue", tv.orders_topic)
 
 
+def _appended(spark: SparkSession, name: str, stream: DataFrame) -> DataFrame:
+    """What a stream in append mode has sent when all its input is read."""
+    root = scratch_path(spark, name)
+    writer = stream.writeStream.format("parquet").option("path", f"{root}/rows")
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
+
+
+def _paid_stream(spark: SparkSession, sf: str, name: str, payments_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    session = streaming_session(spark, Settings())
+    joined = orders_with_payments(
+        tv.minute_orders(tv.events_stream(session, sf)), payments_of(tv.events_stream(session, sf)), unpaid=True
+    )
+    ev = tv.events(spark, sf)
+    orders, payments = tv.minute_orders(ev), payments_of(ev)
+    slower = F.least(tv.latest(orders, "event_time"), tv.latest(payments, "event_time"))
+    return with_open_orders(_appended(spark, name, joined), orders, payments, slower)
+
+
 @query
 def join_order_payment_stream(spark, sf):
-    """Orders joined to their payments as two streams with a time bound."""
+    """Orders joined to their payments as two streams with a time bound; unpaid ones have nulls."""
+    return _paid_stream(spark, sf, "paid", tv.payments)
+
+
+@query
+def join_order_failure_stream(spark, sf):
+    """The same with failed payments only, which most orders lack."""
+    return _paid_stream(spark, sf, "failures", lambda ev: tv.payments(ev).filter(F.col("status") == "failed"))
+
+
+@query
+def gold_session_stream(spark, sf):
+    """Sessions closed by the stream, and the open ones from the table."""
     session = streaming_session(spark, Settings())
-    root = scratch_path(spark, "paid")
-    joined = orders_with_payments(
-        tv.minute_orders(tv.events_stream(session, sf)), tv.payments(tv.events_stream(session, sf))
+    measures = gold.session_measures()
+    closed = session_stream(tv.events_stream(session, sf), "user_id", "event_time", measures)
+    return with_open_sessions(
+        _appended(spark, "sessions", closed), tv.events(spark, sf), "user_id", "event_time", measures
     )
-    writer = joined.writeStream.format("parquet").option("path", f"{root}/rows")
-    writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-    writer.start().awaitTermination()
-    return spark.read.schema(joined.schema).parquet(f"{root}/rows")
+
+
+@query
+def funnel_steps(spark, sf):
+    """Users who view, click, order and pay, in this order, within 12 hours of the view."""
+    ev = tv.events(spark, sf)
+    return analytics.shopping_funnel(tv.clicks(ev, kind=True), tv.minute_orders(ev), tv.payments(ev), 12 * 60)
 
 
 # Dashboard

@@ -34,7 +34,7 @@ TABLES = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
-REASONS = ("defective", "wrong_item", "changed_mind", "late_delivery")
+REASONS = ("too small", "too large", "broken", "not as shown")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -115,8 +115,9 @@ def payments(ev: DataFrame) -> DataFrame:
     )
 
 
-def clicks(ev: DataFrame) -> DataFrame:
+def clicks(ev: DataFrame, kind: bool = False) -> DataFrame:
     return ev.filter(F.col("event_type").isin("view", "click")).select(
+        *(["event_type"] if kind else []),
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("session_id"),
         F.col("user_id").cast("string").alias("user_id"),
