@@ -36,6 +36,9 @@ class Settings:
     #: Events timed later than this after their arrival are dead letters.
     max_ahead_minutes: int = 60
     dedup_metrics: bool = True
+    #: Batches after which a metric table is folded into days, and seconds that readers may take.
+    fold_every: int = 64
+    fold_grace_seconds: int = 600
     object_store_endpoint: str | None = None
 
     @classmethod

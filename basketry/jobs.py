@@ -6,6 +6,7 @@ The streaming application is basketry.streaming.app.start_all.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType, TimestampType
@@ -139,24 +140,55 @@ def refresh_summary(spark: SparkSession, settings: Settings, first_day: dt.date)
     )
 
 
-def metric_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
-    """The current rows of a streaming metric."""
-    topic = app.METRICS[name].topic
-    empty = spark.createDataFrame([], schemas.bronze(topic))
-    schema = app.metric_frame(name, empty, settings).schema
-    return upsert_log.read_table(spark, settings.metric(name), schema, app.METRICS[name].keys)
+def metric_schema(spark: SparkSession, settings: Settings, name: str) -> StructType:
+    empty = spark.createDataFrame([], schemas.bronze(app.METRICS[name].topic))
+    return app.metric_frame(name, empty, settings).schema
+
+
+def metric_table(
+    spark: SparkSession, settings: Settings, name: str, state: upsert_log.State | None = None,
+    first_day: dt.date | None = None,
+) -> DataFrame:
+    """The committed rows of a streaming metric, now or at a state taken before."""
+    schema = metric_schema(spark, settings, name)
+    return upsert_log.read_table(spark, settings.metric(name), schema, app.METRICS[name].keys, state, first_day)
+
+
+#: The tables of the dashboard. Those of the first kind have rows in every minute with traffic.
+STEADY = ("revenue_per_minute", "active_users", "product_metrics", "geographic_metrics")
+DASHBOARD = (*STEADY, "failed_payments", "click_windows", "page_windows")
+
+
+def metric_states(spark: SparkSession, settings: Settings, names: Sequence[str] = DASHBOARD) -> dict[str, upsert_log.State]:
+    """The committed states of several metric tables, taken together before any row is read."""
+    return {name: upsert_log.state_of(spark, settings.metric(name)) for name in names}
 
 
 def dashboard(spark: SparkSession, settings: Settings, as_of, minutes: int) -> dict[str, DataFrame]:
-    """All panels of the dashboard from the current metric tables."""
-    windows = metric_table(spark, settings, "click_windows")
+    """All panels of the dashboard, from whole batches up to one window that all tables have reached.
+
+    Each table is read at the state it had when the call began, up to the newest window that the
+    steady tables share. With a date or time as `as_of`, older days are not listed.
+    """
+    states = metric_states(spark, settings)
+    shared = upsert_log.common_window({n: states[n] for n in STEADY})
+    first = None
+    if isinstance(as_of, dt.date):
+        newest = as_of if isinstance(as_of, dt.datetime) else dt.datetime.combine(as_of, dt.time())
+        first = (min(newest, shared or newest) - dt.timedelta(minutes=minutes)).date()
+
+    def table(name: str) -> DataFrame:
+        rows = metric_table(spark, settings, name, states[name], first)
+        return rows if shared is None else rows.filter(F.col("window_start") <= F.lit(shared).cast("timestamp"))
+
+    windows = table("click_windows")
     tables = {
-        "revenue": metric_table(spark, settings, "revenue_per_minute"),
-        "users": metric_table(spark, settings, "active_users"),
-        "failed": metric_table(spark, settings, "failed_payments"),
-        "top_products": kpi.top_products(metric_table(spark, settings, "product_metrics")),
-        "geo": metric_table(spark, settings, "geographic_metrics"),
-        "clicks": kpi.clickstream_metrics(windows, metric_table(spark, settings, "page_windows")),
+        "revenue": table("revenue_per_minute"),
+        "users": table("active_users"),
+        "failed": table("failed_payments"),
+        "top_products": kpi.top_products(table("product_metrics")),
+        "geo": table("geographic_metrics"),
+        "clicks": kpi.clickstream_metrics(windows, table("page_windows")),
     }
     return serving.load_metrics(tables, as_of, minutes)
 

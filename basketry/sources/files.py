@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -22,8 +25,63 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Create a folder, so that a stream may start on it before its first file arrives."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if it is missing."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """A file of a few lines that readers see as a whole or not at all."""
+    files, place = _file_system(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f"_{uuid.uuid4().hex}")
+    out = files.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(place):
+        files.delete(place, False)
+    if not files.rename(hidden, place):
+        raise OSError(f"cannot write {path}")
+
+
+def read_small_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name and text of the files in a folder of small files; hidden ones are left out. One that
+    goes away meanwhile is left out too."""
+    files, place = _file_system(spark, folder)
+    if not files.exists(place):
+        return {}
+    out = {}
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        try:
+            stream = files.open(status.getPath())
+        except Py4JJavaError as e:
+            if "FileNotFound" in str(e.java_exception):
+                continue
+            raise
+        try:
+            out[name] = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+    return out
 
 
 def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -8,8 +8,9 @@ each needs its own state and watermark.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -89,25 +90,41 @@ def metric_frame(name: str, events: DataFrame, settings: Settings) -> DataFrame:
 
 
 def start_metric(
-    name: str, events: DataFrame, settings: Settings, table: str, checkpoint: str, trigger: str | None = None
+    name: str, events: DataFrame, settings: Settings, table: str, checkpoint: str, trigger: str | None = None,
+    also: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    frame = metric_frame(name, events, settings)
-    return upsert_stream(frame, table, checkpoint, trigger, METRICS[name].mode, name)
+    """Start one metric; `also` gets each batch too, as a publisher to a database would."""
+    frame, metric = metric_frame(name, events, settings), METRICS[name]
+    return upsert_stream(
+        frame, table, checkpoint, trigger, metric.mode, name, also, metric.keys, settings.fold_every,
+        settings.fold_grace_seconds,
+    )
+
 
+def start_all(
+    spark: SparkSession, settings: Settings, starting_offsets: str,
+    records_of: Callable[[SparkSession, Sequence[str]], DataFrame] | None = None,
+    publish: Callable[[str, DataFrame, int], None] | None = None,
+) -> list[StreamingQuery]:
+    """Start bronze, metric and change-feed queries; the caller waits with await_any.
 
-def start_all(spark: SparkSession, settings: Settings, starting_offsets: str) -> list[StreamingQuery]:
-    """Start bronze, metric and change-feed queries; the caller waits with await_any."""
+    Records come from the broker, or from `records_of`, which gets a session and topic names.
+    `publish` gets each batch of each metric table with its name, to write it elsewhere. With the
+    trigger set to "" the queries take all that is there and end.
+    """
     session = streaming_session(spark, settings)
+    trigger = settings.trigger or None
     queries = []
     parsed = {}
     for topic, schema in schemas.TOPIC_SCHEMAS.items():
-        records = read_topics(session, settings, [settings.topics[topic]], starting_offsets)
+        names = [settings.topics[topic]]
+        records = records_of(session, names) if records_of else read_topics(session, settings, names, starting_offsets)
         parsed[topic] = parse_events(records, schema, settings.max_ahead_minutes)
-        queries.append(start_dead_letters(topic, records, settings, settings.trigger))
+        queries.append(start_dead_letters(topic, records, settings, trigger))
         queries.append(
             append_stream(
                 parsed[topic], settings.bronze(topic), settings.checkpoint(f"bronze_{topic}"),
-                trigger=settings.trigger, name=f"bronze_{topic}",
+                trigger=trigger, name=f"bronze_{topic}",
             )
         )
     for name, metric in METRICS.items():
@@ -121,11 +138,12 @@ def start_all(spark: SparkSession, settings: Settings, starting_offsets: str) ->
             events = parsed[metric.topic]
         queries.append(
             start_metric(
-                name, events, settings, settings.metric(name), settings.checkpoint(f"metric_{name}"),
-                settings.trigger,
+                name, events, settings, settings.metric(name), settings.checkpoint(f"metric_{name}"), trigger,
+                partial(publish, name) if publish else None,
             )
         )
-    queries.append(start_cdc(session, settings, read_cdc(session, settings), settings.trigger))
+    changes = records_of(session, settings.cdc_topics()) if records_of else read_cdc(session, settings)
+    queries.append(start_cdc(session, settings, changes, trigger))
     return queries
 
 

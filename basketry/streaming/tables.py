@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from basketry.sources.files import delete_folder, folder_names
 
 # Fixed value: the folder name of a null partition.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -49,30 +51,13 @@ def replace_since(
     ).parquet(path)
     if first is not None:
         filled = {f"{partition}={r[0]}" for r in staged.select(partition).distinct().collect()}
-        for name in _folders(spark, path):
+        for name in folder_names(spark, path):
             day = name.removeprefix(f"{partition}=")
             if day != name and day != NO_VALUE and day >= str(first) and name not in filled:
                 delete_folder(spark, f"{path.rstrip('/')}/{name}")
     delete_folder(spark, staging)
 
 
-def _file_system(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    files, folder = _file_system(spark, path)
-    if not files.exists(folder):
-        return []
-    return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    files, folder = _file_system(spark, path)
-    files.delete(folder, True)
-
-
 def replace_table(rows: DataFrame, path: str, staging: str) -> None:
     """Replace a whole table; the rows may come from the table itself."""
     rows.write.mode("overwrite").parquet(staging)
