@@ -16,9 +16,9 @@ never the result.
 
 A bucket may hold very many sets, so its pairs are never listed. Rounds compare all members of a
 bucket with one of them, the hub, as long as they are not in its component yet; a hub then leaves
-the bucket, and so do buckets of one component. Few buckets are left after some rounds, and their
-members are compared in blocks of bounded size, those outside the largest component with all of
-other components. Every comparison is on the full sets, so no link between two components is lost.
+the bucket, and so do buckets of one component. Few buckets are left after that. They are put
+together to clusters, and their members are compared in blocks of bounded size, those outside the
+largest component with all of other components. Every comparison is on the full sets, so no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.llm import sketch, words as W
+from basketry.llm import clusters, sketch, words as W
 from basketry.llm.components import components
 from basketry.llm.scratch import Scratch, sorted_groups
 
@@ -46,10 +46,10 @@ class JoinSettings:
     shingle: int = 4
     numerator: int = 85
     denominator: int = 100
-    counters: int = 23
+    counters: int = 24
     alone: int = 32
     paired: int = 2048
-    rounds: int = 3
+    rounds: int = 1
     block: int = 512
 
     def lacking(self, n: int) -> int:
@@ -117,12 +117,15 @@ def _measured(settings: JoinSettings):
 
 def frequency_steps(counts: np.ndarray) -> np.ndarray:
     """How frequent the shingles of each counter look, in sixths of a doubling."""
-    return np.minimum(np.round(np.log2(1 + counts) * 6), 254).astype(np.uint8)
+    out = np.empty(counts.size, np.uint8)
+    for lo in range(0, counts.size, 1 << 20):
+        out[lo : lo + (1 << 20)] = np.minimum(np.round(np.log2(1 + counts[lo : lo + (1 << 20)]) * 6), 254)
+    return out
 
 
 def limits(counts: np.ndarray, settings: JoinSettings) -> tuple[int, int]:
     """The last step of shingles indexed alone and of those indexed in pairs."""
-    mean = float(counts.mean())
+    mean = float(counts.mean(dtype=np.float64))
     return tuple(int(frequency_steps(np.array([3 * mean + x]))[0]) for x in (settings.alone, settings.paired))
 
 
@@ -259,8 +262,8 @@ def _blocks(settings: JoinSettings):
                 yield int(keys[r]), int(keys[linked[k]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["entry", "i", "j"]):
-            cell = np.stack([np.asarray(table.column(c)) for c in ("entry", "i", "j")])
+        for table in sorted_groups(batches, ["cluster", "i", "j"]):
+            cell = np.stack([np.asarray(table.column(c)) for c in ("cluster", "i", "j")])
             cuts = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
             keys, comps, outside = (np.asarray(table.column(c)) for c in ("key", "component", "outside"))
             links: list[tuple[int, int]] = []
@@ -274,9 +277,13 @@ def _blocks(settings: JoinSettings):
     return run
 
 
-def _with_component(members: DataFrame, joined: DataFrame | None) -> DataFrame:
-    if joined is None:
-        return members.withColumn("component", F.col("key"))
+def _shared(entries: DataFrame) -> DataFrame:
+    """The members of buckets that hold several sets."""
+    several = entries.groupBy("entry").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi")
+    return entries.join(several.select("entry"), "entry").withColumn("component", F.col("key"))
+
+
+def _with_component(members: DataFrame, joined: DataFrame) -> DataFrame:
     known = members.drop("component").join(joined.withColumnRenamed("node", "key"), "key", "left")
     return known.withColumn("component", F.coalesce("component", "key"))
 
@@ -307,26 +314,8 @@ def _hub_round(members: DataFrame, texts: DataFrame, settings: JoinSettings) ->
 
 def _block_links(members: DataFrame, texts: DataFrame, scratch: Scratch, settings: JoinSettings) -> DataFrame:
     """Links between components in the buckets that are still mixed, block by block."""
-    sizes = members.groupBy("entry", "component").agg(F.count("key").alias("n"))
-    largest = sizes.groupBy("entry").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")
-    )
-    largest = scratch.keep(largest)
-    mixed = members.select("entry", "key", "component").join(largest, "entry")
-    mixed = mixed.withColumn("outside", F.col("component") != F.col("main"))
-    size = F.lit(float(settings.block))
-    rows, columns = F.ceil(F.col("all") / size).cast("int"), F.ceil((F.col("all") - F.col("most")) / size).cast("int")
-    place = F.xxhash64("key")
-    every = mixed.select(
-        "entry", "key", "component", F.lit(False).alias("outside"), F.pmod(place, rows).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), columns - 1)).alias("j"),
-    )
-    outer = mixed.filter("outside").select(
-        "entry", "key", "component", "outside", F.explode(F.sequence(F.lit(0), rows - 1)).alias("i"),
-        F.pmod(place, columns).cast("int").alias("j"),
-    )
-    cells = scratch.keep(every.union(outer))
-    blocks = cells.join(texts, "key").repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j")
+    met = clusters.cells(members, scratch, settings.block)
+    blocks = met.join(texts, "key").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return blocks.mapInArrow(_blocks(settings), "u long, v long")
 
 
@@ -352,12 +341,14 @@ def similarity_components(
     steps = docs.sparkSession.sparkContext.broadcast(frequency_steps(counts).tobytes())
     named = docs.filter("id is not null")
     entries = scratch.keep(named.mapInArrow(_index(steps, last, settings), "entry long, key long, n int"))
+    steps.destroy()
 
-    members = scratch.keep(_still_mixed(_with_component(entries, None)))
+    members = scratch.keep(_shared(entries))
     scratch.drop(entries)
     owners = rows.filter("id is not null and n > 0").groupBy("key").agg(F.min("id").alias("id"))
     needed = members.select("key").distinct().join(owners, "key")
-    texts = scratch.keep(docs.join(needed, "id").select("key", "text").mapInArrow(_texts(settings), "key long, text string"))
+    texts = sketch.rows_of(docs, scratch.keep(needed)).select("key", "text")
+    texts = scratch.keep(texts.mapInArrow(_texts(settings), "key long, text string"))
 
     links = scratch.keep(_same_id(rows))
     for _ in range(settings.rounds):

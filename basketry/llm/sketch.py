@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from basketry.llm import words as W
+
 BLOCK = 1 << 15
 KIND = "block long, counts binary"
 
@@ -39,3 +41,56 @@ def totals(blocks: DataFrame, size: int) -> np.ndarray:
         own = np.frombuffer(row.counts, np.float32)
         out[row.block * BLOCK : row.block * BLOCK + own.size] = own
     return out
+
+
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (W.mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _marked(bits: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.zeros(1 << bits, bool)
+        for batch in batches:
+            marks[_places(np.asarray(batch.column(0)), bits)] = True
+        for block, packed in block_rows(np.packbits(marks, bitorder="little")):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([packed], pa.binary())], ["block", "counts"])
+
+    return run
+
+
+def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, marks in zip(batch.column("block").to_pylist(), batch.column("counts")):
+            own = np.frombuffer(marks.as_py(), np.uint8)
+            total[block] = own | total[block] if block in total else own
+    for block, marks in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([marks.tobytes()], pa.binary())], ["block", "counts"])
+
+
+def _likely(marks, column: str, bits: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(marks.value, np.uint8)
+        for batch in batches:
+            ids = batch.column(column)
+            place = _places(np.asarray(ids.fill_null(0)), bits)
+            found = (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+            if found.any():
+                yield batch.filter(pa.array(found))
+
+    return run
+
+
+def rows_of(rows: DataFrame, ids: DataFrame, column: str = "id", bits: int = 24) -> DataFrame:
+    """The rows whose whole number in `column` is in the table `ids`, which names each once.
+
+    Rows that are surely not wanted are left out before the shuffle, by a bitmap of fixed size; the
+    others are told by a join, so the result is that of the join alone.
+    """
+    blocks = ids.select(column).mapInArrow(_marked(bits), KIND).repartition("block").mapInArrow(_united, KIND)
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for row in blocks.toLocalIterator():
+        own = np.frombuffer(row.counts, np.uint8)
+        out[row.block * BLOCK : row.block * BLOCK + own.size] = own
+    marks = rows.sparkSession.sparkContext.broadcast(out.tobytes())
+    return rows.mapInArrow(_likely(marks, column, bits), rows.schema).join(ids, column)
