@@ -65,7 +65,7 @@ def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(values[lo:hi])
 
 
-def _key(own: np.ndarray) -> int:
+def set_key(own: np.ndarray) -> int:
     """A number for a set; sets of one number count as equal."""
     if not own.size:
         return 0
@@ -91,7 +91,7 @@ def _measured(settings: JoinSettings):
 
             held = 0
             for own in _sets(batch.column("text"), settings.shingle):
-                key = _key(own)
+                key = set_key(own)
                 keys.append(key)
                 sizes.append(own.size)
                 if own.size and key not in seen:
@@ -183,7 +183,7 @@ def _index(steps, last: tuple[int, int], settings: JoinSettings):
         for batch in batches:
             entries, keys, sizes, held = [], [], [], 0
             for own in _sets(batch.column("text"), settings.shingle):
-                key = _key(own)
+                key = set_key(own)
                 if not own.size or key in seen:
                     continue
                 seen.add(key)
@@ -216,7 +216,7 @@ def _texts(settings: JoinSettings):
         for batch in batches:
             keep = []
             for k, (own, key) in enumerate(zip(_sets(batch.column("text"), settings.shingle), batch.column("key").to_pylist())):
-                if key not in seen and _key(own) == key:
+                if key not in seen and set_key(own) == key:
                     seen.add(key)
                     keep.append(k)
             rows = pa.array(keep, pa.int64())

@@ -8,10 +8,10 @@ is verified on the full shingle sets.
 
 A bucket may hold very many classes, so its pairs are never listed. Two of its members serve as
 hubs and all others are compared with these. Once the verified links are joined to components,
-most buckets lie in one component and need nothing more. In the others, the members outside the
-bucket's largest component are compared with all members of other components, in blocks of
-bounded size. So no link between two components is left out but by banding and by pruning, at
-the probabilities below.
+most buckets lie in one component and need nothing more. The others are put together to clusters,
+and the members outside a cluster's largest component are compared with all members of other
+components, in blocks of bounded size. So no link between two components is left out but by
+banding and by pruning, at the probabilities below.
 
 Banding 32 bands of 4 hashes misses a pair of similarity 0.75 with probability 5e-6.
 """
@@ -26,12 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.llm import words as W
+from basketry.llm import clusters, sketch, words as W
+from basketry.llm.combos import set_key
 from basketry.llm.components import components
 from basketry.llm.scratch import Scratch, sorted_groups
 
-_random = np.random.default_rng(71)
-
 
 @dataclass(frozen=True)
 class NearSettings:
@@ -84,22 +83,20 @@ def _sketches(id_column: str, text: str, settings: NearSettings):
             ids, texts = batch.column(id_column), batch.column(text)
             for first, part in W.chunks(texts):
                 values, start = W.shingles(W.split_words(part))
-                size, one, two, sigs = [], [], [], []
+                size, keys, sigs = [], [], []
                 for lo, hi in zip(start[:-1], start[1:]):
                     own = np.unique(values[lo:hi])
                     size.append(own.size)
-                    one.append(int(W.mix(own).sum().view(np.int64)) if own.size else 0)
-                    two.append(int(np.bitwise_xor.reduce(own).view(np.int64)) if own.size else 0)
+                    keys.append(set_key(own))
                     sigs.append(signature(own, a, b).tobytes() if own.size else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, len(part)),
                         pa.array(size, pa.int64()),
-                        pa.array(one, pa.int64()),
-                        pa.array(two, pa.int64()),
+                        pa.array(keys, pa.int64()),
                         pa.array(sigs, pa.binary()),
                     ],
-                    ["id", "n_shingles", "k1", "k2", "sig"],
+                    ["id", "n_shingles", "key", "sig"],
                 )
 
     return run
@@ -116,11 +113,9 @@ def _bands(settings: NearSettings):
                 sig = _matrix(part.column("sig"), settings.hashes).astype(np.uint64)
                 cut = sig.reshape(-1, settings.bands, rows)
                 keys = W.mix((cut * (place[:, :rows] | np.uint64(1))).sum(axis=2, dtype=np.uint64) + place[:, rows])
-                ids = np.repeat(np.asarray(part.column("id")), settings.bands)
-                band = np.tile(np.arange(settings.bands, dtype=np.int32), part.num_rows)
+                own = np.repeat(np.asarray(part.column("key")), settings.bands)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(band), pa.array(ids, pa.int64())],
-                    ["bucket", "band", "id"],
+                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(own, pa.int64())], ["entry", "key"]
                 )
 
     return run
@@ -177,25 +172,19 @@ def _verify(settings: NearSettings):
 
 
 def _cross(settings: NearSettings):
-    """Link the outsiders of each block with members of other components, on the full sets.
-
-    Two members that share several buckets are compared in that of their first common band
-    only. One link from an outsider to a component is enough.
-    """
+    """Link the outsiders of each block with members of other components, on the full sets. One
+    link from an outsider to a component is enough."""
 
-    def block(ids: np.ndarray, comps: np.ndarray, outside: np.ndarray, band: int, sigs: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    def block(keys: np.ndarray, comps: np.ndarray, outside: np.ndarray, sigs: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
         members = np.flatnonzero(~outside)
         flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
         size = np.array([s.size for s in sets])
         start = np.cumsum(size) - size
         mark = np.zeros(int(flat.max(initial=0)) + 1, bool)
-        cut = sigs.reshape(len(sigs), settings.bands, -1)
         for r in np.flatnonzero(outside):
             others = members[comps[members] != comps[r]]
             rows, _ = _survivors(np.broadcast_to(sigs[r], (others.size, settings.hashes)), sigs[others], settings)
             others = others[rows]
-            first = (cut[r] == cut[others]).all(axis=2).argmax(axis=1)
-            others = others[first == band]
             if not others.size:
                 continue
             own = flat[start[r] : start[r] + size[r]]
@@ -204,28 +193,40 @@ def _cross(settings: NearSettings):
             mark[own] = False
             linked = others[settings.denominator * hits >= settings.numerator * (size[r] + size[others] - hits)]
             for k in np.unique(comps[linked], return_index=True)[1]:
-                yield int(ids[r]), int(ids[linked[k]])
+                yield int(keys[r]), int(keys[linked[k]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["bucket", "i", "j"]):
-            keys = np.stack([np.asarray(table.column(c)) for c in ("bucket", "i", "j")])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            ids, comps, outside, band = (np.asarray(table.column(c)) for c in ("id", "component", "outside", "band"))
+        for table in sorted_groups(batches, ["cluster", "i", "j"]):
+            cell = np.stack([np.asarray(table.column(c)) for c in ("cluster", "i", "j")])
+            cuts = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
+            keys, comps, outside = (np.asarray(table.column(c)) for c in ("key", "component", "outside"))
             links: list[tuple[int, int]] = []
-            for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
+            for lo, hi in zip([0, *cuts], [*cuts, keys.size]):
                 own = slice(lo, hi)
                 if not outside[own].any() or outside[own].all():
                     continue
                 part = table.slice(lo, hi - lo)
                 sets = list(W.shingle_sets(part.column("text")))
-                sigs = _matrix(part.column("sig"), settings.hashes)
-                links += block(ids[own], comps[own], outside[own], int(band[lo]), sigs, sets)
+                links += block(keys[own], comps[own], outside[own], _matrix(part.column("sig"), settings.hashes), sets)
             columns = list(zip(*links)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v"])
 
     return run
 
 
+def _own_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose text has the set asked for, the first of each set in a task."""
+    seen: set[int] = set()
+    for batch in batches:
+        keep = []
+        for k, (own, key) in enumerate(zip(W.shingle_sets(batch.column("text")), batch.column("key").to_pylist())):
+            if key not in seen and set_key(own) == key:
+                seen.add(key)
+                keep.append(k)
+        rows = pa.array(keep, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("key", "text")], ["key", "text"])
+
+
 PAIRS = "a long, b long, small boolean, matches long"
 
 
@@ -238,85 +239,79 @@ def near_duplicates(
     at least 75/100, on the full sets. component_id is the smallest id that a document reaches.
     A null or empty text, or one of white space only, has no shingles and no links. A row
     without an id cannot be linked: it is kept, with no component. Rows that share an id are
-    the same document and share a component. Extra columns, whatever their names, are ignored.
+    the same document, whatever their texts: what one of them links with the others do too.
+    Repeated rows are all returned. Extra columns, whatever their names, are ignored.
     An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "near")
     docs = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = scratch.keep(
-        docs.mapInArrow(_sketches("id", "text", settings), "id long, n_shingles long, k1 long, k2 long, sig binary")
-    )
-    key = ["k1", "k2", "n_shingles"]
-    filled = rows.filter("n_shingles > 0 and id is not null")
-    classes = scratch.keep(filled.groupBy(*key).agg(F.min("id").alias("id"), F.count("id").alias("copies")))
-    # Rows that share an id may have different texts; their classes are one node.
-    sigs = filled.select("id", *key, "sig").join(classes.select("id", *key), ["id", *key], "left_semi")
-    sigs = scratch.keep(sigs.select("id", "sig").dropDuplicates(["id"]))
-
-    banded = sigs.mapInArrow(_bands(settings), "bucket long, band int, id long")
-    shuffled = F.struct(F.xxhash64("id", "bucket").alias("h"), F.col("id").alias("i"))
+    measured = scratch.keep(docs.mapInArrow(_sketches("id", "text", settings), "id long, n_shingles long, key long, sig binary"))
+    rows = scratch.keep(measured.select("id", "n_shingles", "key"))
+    filled = measured.filter("n_shingles > 0 and id is not null")
+    owners = scratch.keep(filled.groupBy("key").agg(F.min("id").alias("id")))
+    sigs = scratch.keep(filled.select("key", "sig").dropDuplicates(["key"]))
+    scratch.drop(measured)
+
+    banded = sigs.mapInArrow(_bands(settings), "entry long, key long")
+    shuffled = F.struct(F.xxhash64("key", "entry").alias("h"), F.col("key").alias("i"))
     hubs = (
-        banded.groupBy("bucket")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("top"), F.min(shuffled)["i"].alias("other"), F.count("id").alias("n"))
+        banded.groupBy("entry")
+        .agg(F.min("key").alias("hub"), F.max("key").alias("top"), F.min(shuffled)["i"].alias("other"), F.count("key").alias("n"))
         .filter("hub < top")
-        .select("bucket", "hub", "other", "n")
+        .select("entry", "hub", "other", "n")
     )
-    buckets = scratch.keep(banded.join(hubs, "bucket"))
-    star = buckets.select(F.col("id").alias("a"), F.explode(F.array("hub", "other")).alias("b"), (F.col("n") <= 3).alias("small"))
+    buckets = scratch.keep(banded.join(hubs, "entry"))
+    star = buckets.select(F.col("key").alias("a"), F.explode(F.array("hub", "other")).alias("b"), (F.col("n") <= 3).alias("small"))
     star = star.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "small")
     star = star.groupBy("a", "b").agg(F.max("small").alias("small"))
-    pairs = scratch.keep(_with(star, sigs, "sig", "id").mapInArrow(_prune(settings), PAIRS))
+    pairs = scratch.keep(_with(star, sigs, "sig").mapInArrow(_prune(settings), PAIRS))
+
+    # Texts of all that a comparison may ask for, read once.
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    needed = needed.union(buckets.filter("n > 3 or (n = 3 and hub = other)").select("key")).distinct()
+    texts = sketch.rows_of(docs, scratch.keep(needed.join(owners, "key"))).select("key", "text")
+    texts = scratch.keep(texts.mapInArrow(_own_texts, "key long, text string"))
 
     # The best partner of each document first: that joins nearly all that belongs together.
     best = pairs.groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))
-    links = scratch.keep(_verified(best, docs, scratch, settings))
+    links = scratch.keep(_verified(best, texts, settings)).union(scratch.keep(_same_id(rows)))
     joined = scratch.keep(components(links, scratch))
     # Then what could still join two components: other hubs in buckets of two or three members,
     # and all members of larger ones.
     rest = _between(pairs.filter("small").join(best, ["a", "b"], "left_anti"), joined)
-    other = scratch.keep(_verified(rest, docs, scratch, settings))
-    across = scratch.keep(_cross_links(buckets, joined, sigs, docs, scratch, settings))
-    found = components(links.union(other).union(across), scratch)
-
-    named = classes.select(*key, F.col("id").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select(*key, F.coalesce("component", "rep").alias("component_id"))
-    shared = _shared_ids(filled, named, key, scratch)
-    out = rows.select("id", *key).join(named, key, "left")
-    if shared is not None:
-        out = out.join(shared, "component_id", "left").withColumn("component_id", F.coalesce("lower", "component_id"))
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
-    component = F.when(F.col("id").isNotNull(), F.col("component_id"))
+    other = scratch.keep(_verified(rest, texts, settings))
+    across = scratch.keep(_cross_links(buckets, joined, sigs, texts, scratch, settings))
+    found = scratch.keep(components(links.union(other).union(across), scratch))
+    scratch.drop(buckets, pairs, texts, sigs, joined, owners)
+
+    known = rows.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    linked = (F.col("n_shingles") > 0) & F.col("id").isNotNull()
+    lowest = known.filter(linked).groupBy("component").agg(F.min("id").alias("component_id"))
+    out = known.join(lowest, "component", "left")
+    component = F.when(F.col("id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
     return out.select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
 
 
-def _shared_ids(filled: DataFrame, named: DataFrame, key: list[str], scratch: Scratch) -> DataFrame | None:
-    """Components that rows of one id, but of different texts, bring together; mostly none."""
-    several = filled.groupBy("id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi")
-    ids = scratch.keep(several.select("id"))
-    if ids.isEmpty():
-        return None
-    own = filled.join(ids, "id", "left_semi").select("id", *key).distinct().join(named, key)
-    first = own.groupBy("id").agg(F.min("component_id").alias("u"))
-    links = own.join(first, "id").select("u", F.col("component_id").alias("v"))
-    return components(links, scratch).select(F.col("node").alias("component_id"), F.col("component").alias("lower"))
+def _same_id(rows: DataFrame) -> DataFrame:
+    """Links between the sets of rows that share an id; mostly none."""
+    own = rows.filter("id is not null and n_shingles > 0")
+    several = own.groupBy("id").agg(F.min("key").alias("u"), F.max("key").alias("hi")).filter("u < hi")
+    return own.join(several.select("id", "u"), "id").select("u", F.col("key").alias("v")).filter("u != v").distinct()
 
 
-def _with(pairs: DataFrame, side: DataFrame, column: str, key: str) -> DataFrame:
+def _with(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
     """Pairs with a column of both partners. b may be the hub of very many pairs and is joined
     last, straight before the rows are used up, so that Spark can split it."""
-    one = side.select(F.col(key).alias("a"), F.col(column).alias(f"{column}_a"))
-    two = side.select(F.col(key).alias("b"), F.col(column).alias(f"{column}_b"))
+    one = side.select(F.col("key").alias("a"), F.col(column).alias(f"{column}_a"))
+    two = side.select(F.col("key").alias("b"), F.col(column).alias(f"{column}_b"))
     return pairs.join(one, "a").join(two, "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, settings: NearSettings) -> DataFrame:
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # Stored, so that Spark can split the pairs of a hub when the texts are joined.
-    texts = scratch.keep(docs.join(needed, "id", "left_semi").dropDuplicates(["id"]))
-    return _with(pairs.select("a", "b"), texts, "text", "id").mapInArrow(_verify(settings), "u long, v long")
+def _verified(pairs: DataFrame, texts: DataFrame, settings: NearSettings) -> DataFrame:
+    return _with(pairs.select("a", "b"), texts, "text").mapInArrow(_verify(settings), "u long, v long")
 
 
 def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -328,38 +323,18 @@ def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _cross_links(
-    buckets: DataFrame, joined: DataFrame, sigs: DataFrame, docs: DataFrame, scratch: Scratch, settings: NearSettings
+    buckets: DataFrame, joined: DataFrame, sigs: DataFrame, texts: DataFrame, scratch: Scratch, settings: NearSettings
 ) -> DataFrame:
     """Links between components in buckets of over three members.
 
     In a smaller bucket the hubs have been compared with everyone; only a bucket of three with
     one hub for two is left, and it is covered here too.
     """
-    open_ones = buckets.filter("n > 3 or (n = 3 and hub = other)").select("bucket", "band", "id")
-    known = open_ones.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    known = scratch.keep(known.select("bucket", "band", "id", F.coalesce("component", "id").alias("component")))
-    sizes = known.groupBy("bucket", "component").agg(F.count("id").alias("n"))
-    largest = sizes.groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"),
-        F.max("n").alias("most"),
-    ).filter("most < all")
-    # Stored, so that the join is of two plain tables and Spark can split a large bucket.
-    largest = scratch.keep(largest)
-    mixed = known.join(largest, "bucket").withColumn("outside", F.col("component") != F.col("main"))
-    size = F.lit(float(settings.block))
-    rows = F.ceil(F.col("all") / size).cast("int")
-    columns = F.ceil((F.col("all") - F.col("most")) / size).cast("int")
-    place = F.xxhash64("id")
-    every = mixed.select(
-        "bucket", "band", "id", "component", F.lit(False).alias("outside"),
-        F.pmod(place, rows).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("j"),
-    )
-    outer = mixed.filter("outside").select(
-        "bucket", "band", "id", "component", "outside",
-        F.explode(F.sequence(F.lit(0), rows - 1)).alias("i"), F.pmod(place, columns).cast("int").alias("j"),
-    )
-    cells = scratch.keep(every.union(outer))
-    needed = cells.select("id").distinct()
-    texts = docs.join(needed, "id", "left_semi").dropDuplicates(["id"])
-    blocks = cells.join(sigs, "id").join(texts, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    open_ones = buckets.filter("n > 3 or (n = 3 and hub = other)").select("entry", "key")
+    known = open_ones.join(joined.withColumnRenamed("node", "key"), "key", "left")
+    known = known.select("entry", "key", F.coalesce("component", "key").alias("component"))
+    mixed = known.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    members = scratch.keep(known.join(mixed.filter("lo < hi").select("entry"), "entry"))
+    met = clusters.cells(members, scratch, settings.block)
+    blocks = met.join(sigs, "key").join(texts, "key").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return blocks.mapInArrow(_cross(settings), "u long, v long")

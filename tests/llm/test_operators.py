@@ -356,3 +356,14 @@ def test_documents_that_share_less_than_a_passage(spark):
     found = passages.repeated_passages(docs.coalesce(1))
     assert all(r.n_words < 66 for r in found.collect())
     assert [r.text for r in passages.without_passages(docs, found.filter("false")).orderBy("doc_id").collect()] == texts
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    """Both texts of document 1 keep their links, in whatever order the rows come."""
+    rnd = random.Random(12)
+    a, b = ([f"{c}{rnd.randrange(9000)}" for _ in range(80)] for c in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a[:-1], "x"])), (3, " ".join([*b[:-1], "y"])), (4, "one two")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = sorted((r.doc_id, r.component_id) for r in near.near_duplicates(docs).collect())
+        assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
