@@ -13,11 +13,12 @@ from pyspark.sql.types import DateType, StructField, StructType, TimestampType
 
 from basketry import schemas
 from basketry.config import Settings
-from basketry.functions.dates import between_days
+from basketry.functions.dates import between_days, seconds_of
 from basketry.functions.parse import of_type
+from basketry.operators.sessions import carry, session_states
 from basketry.plans import gold, kpi, serving, warehouse
 from basketry.session import scratch_path
-from basketry.sources.files import read_dataset
+from basketry.sources.files import delete_folder, read_dataset
 from basketry.streaming import app, upsert_log
 from basketry.streaming.tables import replace_since, replace_table, write_ranked
 
@@ -64,9 +65,9 @@ def _without(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def build_gold(spark: SparkSession, settings: Settings, first_day: dt.date | None = None) -> None:
     """Bring silver orders and all gold tables up to date.
 
-    With first_day, bronze is read from that day on, and so are the days of the daily revenue.
-    Buyers of a product and sessions reach over days, so these two are worked out from all of
-    silver, which is clean and read by column.
+    With first_day, only days from then on are read from bronze and silver. What reaches over days
+    is kept in a form that adds up: sums of a product by day, its buyers by the day of their first
+    order, and the sessions that are open at midnight.
     """
     build_silver(spark, settings, first_day)
     clean = gold.tidy_orders(silver_orders(spark, settings))
@@ -74,13 +75,54 @@ def build_gold(spark: SparkSession, settings: Settings, first_day: dt.date | Non
     replace_since(
         gold.daily_revenue(recent), settings.gold("daily_revenue"), "order_date", first_day, scratch_path(spark, "gold")
     )
-    write_ranked(
-        gold.product_performance(clean), settings.gold("product_performance"), "total_revenue",
-        scratch_path(spark, "gold"),
-    )
+    _build_products(spark, settings, recent, first_day)
+    _build_sessions(spark, settings, clean, first_day)
+
+
+def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    return read_dataset(spark, path, like.schema)
+
+
+def _build_products(spark: SparkSession, settings: Settings, recent: DataFrame, first_day: dt.date | None) -> None:
+    buyers_path, days_path = settings.gold("product_buyers"), settings.gold("product_days")
+    buyers = gold.first_buyers(recent)
+    if first_day is not None:
+        known = _stored(spark, buyers_path, buyers).filter(F.col("first_day") < first_day)
+        buyers = gold.first_buyers(recent, known)
+    replace_since(buyers, buyers_path, "first_day", first_day, scratch_path(spark, "gold"))
+    buyers = _stored(spark, buyers_path, buyers)
+    if first_day is not None:
+        buyers = buyers.filter(F.col("first_day") >= first_day)
+    days = gold.product_days(recent, buyers)
+    replace_since(days, days_path, "order_date", first_day, scratch_path(spark, "gold"))
+    totals = gold.product_totals(_stored(spark, days_path, days))
+    write_ranked(totals, settings.gold("product_performance"), "total_revenue", scratch_path(spark, "gold"))
+
+
+def _build_sessions(spark: SparkSession, settings: Settings, clean: DataFrame, first_day: dt.date | None) -> None:
+    """Sessions by the day of their last event. The day before first_day is worked out again, from
+    the sessions open at its first instant, as sessions that ended there may now go on."""
+    gap = seconds_of(settings.session_gap)
     activity = read_dataset(spark, settings.bronze("users"), schemas.bronze("users"))
-    sessions = gold.session_analytics(gold.session_events(activity, clean))
-    replace_table(sessions, settings.gold("session_analytics"), scratch_path(spark, "gold"))
+    day = None if first_day is None else first_day - dt.timedelta(days=1)
+    if day is not None:
+        activity = activity.filter(between_days(day, LAST_DAY))
+        clean = clean.filter(F.col("order_date") >= day)
+    events = gold.session_events(activity, clean)
+    measures, path = gold.session_measures(), settings.gold("session_carry")
+    states = session_states(events, None, "user_id", "event_time", gap, measures)
+    if day is not None:
+        carried = _stored(spark, path, states).filter(F.col("day") == day - dt.timedelta(days=1))
+        states = session_states(events, carried, "user_id", "event_time", gap, measures)
+        states = states.filter(F.col("day") >= day)
+    # Written once; sessions and what is open at midnight both come from it.
+    staged = scratch_path(spark, "sessions")
+    states.write.parquet(staged)
+    stored = spark.read.schema(states.schema).parquet(staged)
+    sessions = stored.filter("ended").drop("ended").withColumnRenamed("day", "session_day")
+    replace_since(sessions, settings.gold("session_analytics"), "session_day", day, scratch_path(spark, "gold"))
+    replace_since(carry(stored, gap), path, "day", day, scratch_path(spark, "gold"))
+    delete_folder(spark, staged)
 
 
 def load_warehouse(
