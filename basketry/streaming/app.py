@@ -8,6 +8,8 @@ each needs its own state and watermark.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -17,14 +19,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry import schemas
 from basketry.config import Settings
+from basketry.functions.dates import between_days, seconds_of
 from basketry.functions.parse import dead_letters, of_type, parse_events
+from basketry.operators.ranking import first_per_key
 from basketry.plans import cdc, kpi
 from basketry.session import streaming_session
-from basketry.sources.files import ensure_folder, stream_dataset
+from basketry.sources.files import ensure_folder, read_small_files, stream_dataset, write_small_file
 from basketry.sources.kafka import read_cdc, read_topics
 from basketry.streaming.bronze import append_stream
 from basketry.streaming.joins import dedup_stream
-from basketry.streaming.upsert_log import upsert_stream
+from basketry.streaming.runs import open_run
+from basketry.streaming.upsert_log import upsert_stream, write_batch
 
 Transform = Callable[[DataFrame, Settings], DataFrame]
 
@@ -61,6 +66,7 @@ METRICS = {
     ),
     "failed_payments": Metric("payments", None, kpi.failed_payments, ("window_start",), id="payment_id"),
     "active_users": Metric("users", None, kpi.active_users_approx, ("window_start",)),
+    "user_sketches": Metric("users", None, kpi.user_sketches, ("window_start",)),
     "active_users_exact": Metric("users", None, kpi.active_users_exact, ("window_start",), "append"),
     "click_windows": Metric(
         "clicks", None, lambda df, s: kpi.click_windows(df, settings=s), ("window_start",)
@@ -91,16 +97,69 @@ def metric_frame(name: str, events: DataFrame, settings: Settings) -> DataFrame:
 
 def start_metric(
     name: str, events: DataFrame, settings: Settings, table: str, checkpoint: str, trigger: str | None = None,
-    also: Callable[[DataFrame, int], None] | None = None,
+    also: Callable[[DataFrame, int], None] | None = None, since: dt.datetime | None = None,
 ) -> StreamingQuery:
-    """Start one metric; `also` gets each batch too, as a publisher to a database would."""
+    """Start one metric; `also` gets each batch too, as a publisher to a database would.
+
+    With `since`, the cut of `seed_metric`, only windows from then on are sent. Events of one
+    watermark before it are still read, as repeats of them may follow.
+    """
+    if since is not None:
+        before = F.lit(since) - F.expr(f"INTERVAL {settings.watermark}") - F.expr(f"INTERVAL {settings.window}")
+        day = (since - dt.timedelta(seconds=seconds_of(settings.watermark) + seconds_of(settings.window))).date()
+        events = events.filter(F.col("event_time") >= before)
+        if {"year", "month", "day"} <= set(events.columns):
+            events = events.filter(between_days(day, dt.date(9998, 12, 31)))  # leaves whole folders out
     frame, metric = metric_frame(name, events, settings), METRICS[name]
+    if since is not None:
+        frame = frame.filter(F.col("window_start") >= F.lit(since))
     return upsert_stream(
         frame, table, checkpoint, trigger, metric.mode, name, also, metric.keys, settings.fold_every,
         settings.fold_grace_seconds,
     )
 
 
+def cut_of(spark: SparkSession, events: DataFrame, settings: Settings) -> dt.datetime | None:
+    """The newest window start whose earlier windows are closed: the watermark of a stream that has
+    seen these events."""
+    newest = events.agg((F.max("event_time") - F.expr(f"INTERVAL {settings.watermark}")).alias("closed"))
+    start = F.window("closed", settings.window)["start"]
+    row = newest.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("cut")).first()
+    return dt.datetime.fromisoformat(row.cut) if row else None
+
+
+def seed_metric(
+    spark: SparkSession, name: str, events: DataFrame, settings: Settings, table: str, cut: dt.datetime | None = None
+) -> dt.datetime | None:
+    """Fill a metric table from stored events up to a cut, which is recorded with the table, and
+    return the cut. `start_metric` with `since` goes on from there.
+
+    All windows before the cut are closed, so their batch values are final. An event counts once,
+    as on the stream. Seeding again changes nothing.
+    """
+    metric = METRICS[name]
+    place = f"{table.rstrip('/')}/_seed/cut.json"
+    known = read_small_files(spark, f"{table.rstrip('/')}/_seed")
+    if known:
+        return dt.datetime.fromisoformat(json.loads(known["cut.json"])["cut"])
+    cut = cut or cut_of(spark, events, settings)
+    if cut is None:
+        return None
+    if metric.event_type:
+        events = of_type(events, metric.event_type)
+    if metric.id and settings.dedup_metrics:
+        # The first to arrive counts on the stream; of a table, the earliest.
+        named = events.withColumn("_event_id", F.expr(metric.id))
+        own = F.when(F.col("_event_id").isNull(), F.monotonically_increasing_id())
+        named = named.withColumn("_own", own)
+        events = first_per_key(named, ["_event_id", "_own"], [F.col("event_time").asc_nulls_last()]).drop("_event_id", "_own")
+    closed = metric.transform(events, settings).filter(F.col("window_start") < F.lit(cut))
+    run = open_run(spark, table, f"seed {cut}")
+    write_batch(closed, 0, table, run)
+    write_small_file(spark, place, json.dumps({"cut": str(cut), "run": run.number}))
+    return cut
+
+
 def start_all(
     spark: SparkSession, settings: Settings, starting_offsets: str,
     records_of: Callable[[SparkSession, Sequence[str]], DataFrame] | None = None,

@@ -6,10 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.sources.files import delete_folder, folder_names
-
-# Fixed value: the folder name of a null partition.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+from basketry.sources.files import NO_VALUE, delete_folder, folder_names
 
 
 def replace_partitions(

@@ -123,11 +123,7 @@ def kpi_active_users_approx(spark, sf):
 def kpi_active_users_approx_check(spark, sf):
     """Per window the exact count, and whether the estimate is within 15 % of it (or of one)."""
     activity = tv.activity(tv.events(spark, sf))
-    exact = kpi.active_users_exact(activity)
-    near = kpi.active_users_approx(activity).withColumnRenamed("active_user_count", "estimate")
-    off = F.abs(F.col("estimate") - F.col("active_user_count"))
-    close = off <= F.greatest(F.lit(1.0), 0.15 * F.col("active_user_count"))
-    return exact.join(near, ["window_start", "window_end"]).withColumn("within", close).drop("estimate")
+    return _near(kpi.active_users_approx(activity), kpi.active_users_exact(activity), 0.15)
 
 
 def _clickstream(ev):
@@ -204,6 +200,37 @@ def kpi_active_users_approx_stream(spark, sf):
     return _drain(spark, sf, "active_users", tv.activity)
 
 
+def _near(estimate: DataFrame, exact: DataFrame, share: float) -> DataFrame:
+    """The exact counts, and whether the estimate is within a share of them (or one)."""
+    both = exact.join(estimate.withColumnRenamed("active_user_count", "estimate"), ["window_start", "window_end"])
+    off = F.abs(F.col("estimate") - F.col("active_user_count"))
+    return both.withColumn("within", off <= F.greatest(F.lit(1.0), share * F.col("active_user_count"))).drop("estimate")
+
+
+@query
+def kpi_active_users_approx_stream_check(spark, sf):
+    """Per window the exact count, and whether the estimate of the stream is within 15 % of it."""
+    estimate = _drain(spark, sf, "active_users", tv.activity)
+    return _near(estimate, kpi.active_users_exact(tv.activity(tv.events(spark, sf))), 0.15)
+
+
+@query
+def kpi_active_users_hourly(spark, sf):
+    """Sketches of the minutes, stored by the stream, rolled up to hours: the exact count, and whether
+    the estimate is within three standard errors of it."""
+    sketches = _drain(spark, sf, "user_sketches", tv.activity)
+    exact = kpi.active_users_exact(tv.activity(tv.events(spark, sf)), Settings(window="1 hour"))
+    return _near(kpi.active_users_over(sketches, "1 hour"), exact, 0.05)
+
+
+@query
+def kpi_active_users_daily(spark, sf):
+    """The same by day, from sketches of the table."""
+    activity = tv.activity(tv.events(spark, sf))
+    exact = kpi.active_users_exact(activity, Settings(window="1 day"))
+    return _near(kpi.active_users_over(kpi.user_sketches(activity), "1 day"), exact, 0.05)
+
+
 @query
 def kpi_clickstream_stream(spark, sf):
     """The estimate of sessions is given as the exact count and whether it is within 15 % of it."""
