@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.operators.ranking import top_k_per_group
-from basketry.operators.skew import fits_broadcast, heavy_keys, repeat, split_heavy, spread
+from basketry.operators.skew import fits_broadcast, heavy_keys, split_heavy
+
 
 def scd2(
     changes: DataFrame,
@@ -127,25 +128,86 @@ def merge_as_of(
 ) -> DataFrame:
     """The sorted form of as_of_lookup; versions hold _from and _to and do not overlap.
 
-    Facts of a heavy key are spread over parts and its versions repeated for each.
+    A heavy key is cut into slots of about equally many rows, facts and versions together, at
+    quantiles of their times, so a burst fills as many slots as its rows ask for. A slot knows of
+    the versions before it by one row, the last of them; none is repeated. Facts of one instant
+    that fill several slots are dealt to all of these.
     """
-    heavy = heavy_keys(fact if counted is None else counted, on)
     given = fact.columns
-    facts = spread(fact, heavy, on).withColumn("_fact", F.struct(*given)).select(
-        *on, "_part", F.col(time).alias("_at"), F.lit(1).alias("_kind"), "_fact",
-    )
-    known = repeat(versions, heavy, on).select(
-        *on, "_part", F.col("_from").alias("_at"), F.lit(0).alias("_kind"),
-        F.struct(*columns, "_to").alias("_version"),
+    facts = fact.withColumn("_fact", F.struct(*given)).select(*on, F.col(time).alias("_at"), F.lit(1).alias("_kind"), "_fact")
+    known = versions.select(
+        *on, F.col("_from").alias("_at"), F.lit(0).alias("_kind"), F.struct(*columns, "_to").alias("_version")
     )
-    both = facts.unionByName(known, allowMissingColumns=True)
-    # A version counts from its first instant on, so it sorts before a fact at that instant.
+    times = (fact if counted is None or time not in counted.columns else counted).select(*on, F.col(time).alias("_at"))
+    bounds = _quantiles(times.unionByName(versions.select(*on, F.col("_from").alias("_at"))), on)
+    slotted = [_slotted(rows, bounds, on) for rows in (facts, known)]
+    both = slotted[0].unionByName(slotted[1], allowMissingColumns=True)
+    rows = both.unionByName(_carried(slotted[1], bounds, on), allowMissingColumns=True)
+    # A version counts from its first instant on, so it sorts before a fact at that instant; what
+    # is carried in sorts before all.
     so_far = (
-        Window.partitionBy(*on, "_part").orderBy("_at", "_kind")
+        Window.partitionBy(*on, "_slot").orderBy("_kind_first", "_at", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    seen = both.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far))
+    ranked = rows.withColumn("_kind_first", F.when(F.col("_kind") == -1, 0).otherwise(1))
+    seen = ranked.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far))
     valid = F.col("_seen._to").isNull() | (F.col("_at") < F.col("_seen._to"))
     return seen.filter(F.col("_kind") == 1).select(
         "_fact.*", *[F.when(valid, F.col(f"_seen.{c}")).alias(c) for c in columns]
     )
+
+
+# Quantiles that are taken of a heavy key; a key is cut into as many slots at most.
+_CUTS = 256
+
+
+def _quantiles(times: DataFrame, on: list[str]) -> DataFrame:
+    """The heavy keys, as _h_ columns, with the ascending times at which their slots begin.
+
+    There are fewer heavy keys than shuffle partitions, and each has at most _CUTS times.
+    """
+    heavy = heavy_keys(times, on).withColumnsRenamed({c: f"_h_{c}" for c in on})
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    own = times.join(F.broadcast(heavy), match).groupBy(*[f"_h_{c}" for c in on], "_parts")
+    marks = own.agg(F.percentile_approx(F.unix_micros("_at"), [i / _CUTS for i in range(1, _CUTS)], 10 * _CUTS).alias("_marks"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(_CUTS) / F.col("_parts")))
+    picked = F.filter("_marks", lambda _, i: (i + 1) % step == 0)
+    return marks.select(*[f"_h_{c}" for c in on], picked.alias("_bounds"))
+
+
+def _slotted(rows: DataFrame, bounds: DataFrame, on: list[str]) -> DataFrame:
+    """Add _slot: how many bounds lie before the time. A fact at a bound that occurs several times
+    may go to any of their slots, as the version of that instant lies in the first of them."""
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    joined = rows.join(F.broadcast(bounds), match, "left")
+    at = F.unix_micros("_at")
+    before = F.size(F.filter("_bounds", lambda b: b < at))
+    same = F.size(F.filter("_bounds", lambda b: b == at))
+    # By the row itself, so that a task that runs again deals it to the same slot.
+    spread = F.pmod(F.xxhash64("_fact"), same + 1) if "_fact" in rows.columns else F.lit(0)
+    slot = F.when(F.col("_bounds").isNotNull(), before + spread).otherwise(0).cast("int")
+    return joined.withColumn("_slot", slot).drop("_bounds", *[f"_h_{c}" for c in on])
+
+
+def _carried(known: DataFrame, bounds: DataFrame, on: list[str]) -> DataFrame:
+    """For each slot of a heavy key but the first the last version of all slots before it."""
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    slots = bounds.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.size("_bounds"))))
+    slots = slots.select(*[F.col(f"_h_{c}").alias(c) for c in on], "_slot")
+    hot = known.join(F.broadcast(bounds), match).groupBy(*on, "_slot").agg(F.max_by("_version", "_at").alias("_last"))
+    renamed = hot.withColumnsRenamed({c: f"_r_{c}" for c in (*on, "_slot")})
+    cond = F.col("_slot") == F.col("_r__slot")
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    each = slots.join(renamed, cond, "left")
+    before = Window.partitionBy(*on).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = each.withColumn("_version", F.last("_last", ignorenulls=True).over(before))
+    return carried.filter(F.col("_version").isNotNull()).select(
+        *on, F.lit(None).cast("timestamp").alias("_at"), F.lit(-1).alias("_kind"), "_version", "_slot"
+    )

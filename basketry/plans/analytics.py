@@ -12,9 +12,9 @@ from basketry.functions.dates import as_column, date_key
 from basketry.functions.scalars import money, percent, ratio
 from basketry.operators.funnel import funnel_steps
 from basketry.operators.intervals import trailing_counts
-from basketry.operators.ranking import first_per_key, top_n
+from basketry.operators.ranking import top_n
 from basketry.operators.skew import lookup_join, skew_join
-from basketry.plans.gold import dedup_orders
+from basketry.plans.gold import dedup_orders, first_payments
 
 
 def daily_trend(fact: DataFrame, dim_date: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -169,10 +169,8 @@ def _each_payment_once(payments: DataFrame) -> DataFrame:
     """The earliest copy of each payment, and all payments without an id, which are no copies."""
     if "payment_id" not in payments.columns:
         return payments
-    # Without an id a row is told apart by where it was read.
-    own = F.when(F.col("payment_id").isNull(), F.monotonically_increasing_id())
-    named = payments.withColumn("_own", own)
-    return first_per_key(named, ["payment_id", "_own"], [F.col("event_time").asc_nulls_last()]).drop("_own")
+    known = first_payments(payments.filter("payment_id is not null"))
+    return known.unionByName(payments.filter("payment_id is null"))
 
 
 def clicks_before_purchase(events: DataFrame, minutes: int = 10) -> DataFrame:

@@ -150,8 +150,8 @@ def seed_metric(
     if metric.id and settings.dedup_metrics:
         # The first to arrive counts on the stream; of a table, the earliest.
         named = events.withColumn("_event_id", F.expr(metric.id))
-        own = F.when(F.col("_event_id").isNull(), F.monotonically_increasing_id())
-        named = named.withColumn("_own", own)
+        # Without an id an event is told apart by all its columns, as on the stream.
+        named = named.withColumn("_own", F.when(F.col("_event_id").isNull(), F.to_json(F.struct("*"))))
         events = first_per_key(named, ["_event_id", "_own"], [F.col("event_time").asc_nulls_last()]).drop("_event_id", "_own")
     closed = metric.transform(events, settings).filter(F.col("window_start") < F.lit(cut))
     run = open_run(spark, table, f"seed {cut}")

@@ -243,3 +243,34 @@ def test_redelivered_orders_and_payments_count_once(spark):
     pays = spark.createDataFrame([("p", "o", t, "success", 10.0)] * 2, "payment_id string, order_id string, event_time timestamp, status string, amount double")
     got = analytics.order_payments(orders, pays).collect()
     assert [(r.order_id, r.attempts, float(r.paid_amount)) for r in got] == [("o", 1, 10.0)]
+
+
+def test_a_key_of_many_versions_and_a_burst_is_cut_evenly(spark):
+    """Slots hold about equally many rows, no version is repeated, and each slot gets one row more."""
+    from basketry.operators import versions
+
+    second = lambda s: T0 + dt.timedelta(seconds=s)
+    # Most versions of the key lie in a short burst, and so do most facts, many at one instant.
+    marks = list(range(0, 3000)) + [10**6 + 1000 * i for i in range(40)]
+    known = [("hot", i, second(s), second(t) if t is not None else None) for i, (s, t) in enumerate(zip(marks, [*marks[1:], None]))]
+    at = [s + 0.5 for s in range(0, 3000, 2)] + [1500] * 4000 + [10**6 + 500 * i for i in range(80)]
+    facts = [("hot", second(s), i) for i, s in enumerate(at)] + [("cold", second(5), -1), (None, second(5), -2), ("hot", None, -3)]
+    left = spark.createDataFrame(facts, "k string, t timestamp, n int").repartition(4)
+    right = spark.createDataFrame(known, "k string, v int, _from timestamp, _to timestamp")
+    got = {r.n: r.v for r in versions.merge_as_of(left, right, ["k"], "t", ["v"]).collect()}
+    starts = [second(m) for m in marks]
+
+    def valid(t):
+        return None if t is None else max((i for i, s in enumerate(starts) if s <= t), default=None)
+
+    assert got == {n: valid(t) if k == "hot" else None for k, t, n in facts}
+    times = left.select("k", F.col("t").alias("_at")).unionByName(right.select("k", F.col("_from").alias("_at")))
+    bounds = versions._quantiles(times, ["k"])
+    one = left.withColumn("_fact", F.struct("*")).select("k", F.col("t").alias("_at"), F.lit(1).alias("_kind"), "_fact")
+    two = right.select("k", F.col("_from").alias("_at"), F.lit(0).alias("_kind"), F.struct("v", "_to").alias("_version"))
+    slots = [versions._slotted(rows_, bounds, ["k"]) for rows_ in (one, two)]
+    assert slots[1].count() == len(known)
+    sizes = slots[0].select("_slot").union(slots[1].select("_slot")).groupBy("_slot").count().collect()
+    total = sum(r["count"] for r in sizes)
+    assert len(sizes) >= 4 and max(r["count"] for r in sizes) <= 2.5 * total / len(sizes)
+    assert versions._carried(slots[1], bounds, ["k"]).count() < bounds.select(F.explode("_bounds")).count() + 1
