@@ -9,18 +9,38 @@ members of a bucket meet.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.llm.components import components
 from basketry.llm.scratch import Scratch
 
 
+def _edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member with the first one of its bucket, of a partition sorted by bucket; the same two
+    are mostly told by many buckets, and leave a batch once."""
+    last: tuple[int, int] | None = None
+    for batch in batches:
+        entry, key = (np.asarray(batch.column(c)) for c in ("entry", "key"))
+        if not entry.size:
+            continue
+        new = np.concatenate([[last is None or entry[0] != last[0]], entry[1:] != entry[:-1]])
+        start = np.maximum.accumulate(np.where(new, np.arange(entry.size), -1))
+        hub = np.where(start >= 0, key[start], last[1] if last else 0)
+        last = (int(entry[-1]), int(hub[-1]))
+        pairs = np.unique(np.stack([key, hub]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
+
+
 def grouped(members: DataFrame, scratch: Scratch, block: int) -> DataFrame:
     """Columns cluster, key, component: each key once per group, of `members` with the columns
     entry (the bucket), key and component."""
-    hubs = members.groupBy("entry").agg(F.min("key").alias("hub"), F.count("key").alias("n"))
-    hubs = scratch.keep(hubs)
-    edges = members.select("entry", F.col("key").alias("u")).join(hubs, "entry").select("u", F.col("hub").alias("v"))
+    hubs = scratch.keep(members.groupBy("entry").agg(F.min("key").alias("hub"), F.count("key").alias("n")))
+    ordered = members.select("entry", "key").repartition("entry").sortWithinPartitions("entry", "key")
+    edges = ordered.mapInArrow(_edges, "u long, v long")
     named = scratch.keep(components(edges.distinct(), scratch).select(F.col("node").alias("key"), F.col("component").alias("cluster")))
     in_clusters = scratch.keep(members.select("key", "component").distinct().join(named, "key"))
 
@@ -37,11 +57,11 @@ def grouped(members: DataFrame, scratch: Scratch, block: int) -> DataFrame:
     return out.union(buckets.select(F.col("entry").alias("cluster"), "key", "component").distinct())
 
 
-def cells(members: DataFrame, scratch: Scratch, block: int) -> DataFrame:
+def cells(own: DataFrame, scratch: Scratch, block: int) -> DataFrame:
     """Columns cluster, i, j, key, component, outside: the blocks in which the members outside the
     largest component of a group meet all others of it. A block holds about `block` of each, so a
-    group of n members with m outside the largest component makes n * m / block rows or so."""
-    own = scratch.keep(grouped(members, scratch, block))
+    group of n members with m outside the largest component makes n * m / block rows or so. `own`
+    is a stored result of `grouped`."""
     sizes = own.groupBy("cluster", "component").agg(F.count("key").alias("n"))
     largest = sizes.groupBy("cluster").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")

@@ -17,8 +17,10 @@ never the result.
 A bucket may hold very many sets, so its pairs are never listed. Rounds compare all members of a
 bucket with one of them, the hub, as long as they are not in its component yet; a hub then leaves
 the bucket, and so do buckets of one component. Few buckets are left after that. They are put
-together to clusters, and their members are compared in blocks of bounded size, those outside the
-largest component with all of other components. Every comparison is on the full sets, so no link between two components is lost.
+together to clusters, and their members meet in blocks of bounded size, those outside the largest
+component all of other components. A block holds numbers only: how many shingles a set has, and how
+many of them no other set of the cluster has, which bounds the similarity of a pair. The pairs that
+are possible are verified on the full sets, so no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ class JoinSettings:
     counters: int = 24
     alone: int = 32
     paired: int = 2048
-    rounds: int = 1
+    rounds: int = 2
     block: int = 512
 
     def lacking(self, n: int) -> int:
@@ -238,49 +240,78 @@ def _verify(settings: JoinSettings):
     return run
 
 
-def _blocks(settings: JoinSettings):
-    """Link the outsiders of each block with members of other components, on the full sets; one
-    link from an outsider to a component is enough."""
+def _tokens(settings: JoinSettings):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clusters_, keys = (np.asarray(batch.column(c)) for c in ("cluster", "key"))
+            for k, own in enumerate(_sets(batch.column("text"), settings.shingle)):
+                columns = [pa.array(np.full(own.size, c[k])) for c in (clusters_, keys)]
+                yield pa.RecordBatch.from_arrays([columns[0], columns[1], pa.array(own.view(np.int64))], ["cluster", "key", "token"])
+
+    return run
 
-    def block(keys: np.ndarray, comps: np.ndarray, outside: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-        values, flat = np.unique(np.concatenate(sets), return_inverse=True)
-        size = np.array([s.size for s in sets])
-        start = np.cumsum(size) - size
+
+def _possible(settings: JoinSettings):
+    """Pairs of each block that may be partners by their sizes and by the shingles they have alone.
+
+    Of a set of n shingles that has u of them alone in its cluster, a partner holds n - u at most."""
+
+    def block(keys: np.ndarray, comps: np.ndarray, outside: np.ndarray, n: np.ndarray, u: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         members = np.flatnonzero(~outside)
-        mark = np.zeros(values.size, bool)
         for r in np.flatnonzero(outside):
-            fits = (comps[members] != comps[r]) & (settings.denominator * np.minimum(size[members], size[r]) >= settings.numerator * np.maximum(size[members], size[r]))
-            others = members[fits]
-            if not others.size:
-                continue
-            own = flat[start[r] : start[r] + size[r]]
-            mark[own] = True
-            hits = np.add.reduceat(mark[flat[W.spread(start[others], size[others])]].astype(np.int64), np.cumsum(size[others]) - size[others])
-            mark[own] = False
-            linked = others[settings.denominator * hits >= settings.numerator * (size[r] + size[others] - hits)]
-            for k in np.unique(comps[linked], return_index=True)[1]:
-                yield int(keys[r]), int(keys[linked[k]])
+            both = np.minimum(n[r] - u[r], n[members] - u[members])
+            fits = settings.denominator * both >= settings.numerator * (n[r] + n[members] - both)
+            others = keys[members[fits & (comps[members] != comps[r])]]
+            yield np.maximum(keys[r], others), np.minimum(keys[r], others)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["cluster", "i", "j"]):
             cell = np.stack([np.asarray(table.column(c)) for c in ("cluster", "i", "j")])
             cuts = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
-            keys, comps, outside = (np.asarray(table.column(c)) for c in ("key", "component", "outside"))
-            links: list[tuple[int, int]] = []
-            for lo, hi in zip([0, *cuts], [*cuts, keys.size]):
-                if outside[lo:hi].any() and not outside[lo:hi].all():
-                    sets = list(_sets(table.column("text").slice(lo, hi - lo), settings.shingle))
-                    links += block(keys[lo:hi], comps[lo:hi], outside[lo:hi], sets)
-            columns = list(zip(*links)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v"])
+            columns = [np.asarray(table.column(c)) for c in ("key", "component", "outside", "n", "alone")]
+            for lo, hi in zip([0, *cuts], [*cuts, table.num_rows]):
+                found = list(block(*(c[lo:hi] for c in columns)))
+                if found:
+                    pairs = [pa.array(np.concatenate(c)) for c in zip(*found)]
+                    yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
 
     return run
 
 
+def _several(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries that several sets have, each with each set once, of a partition sorted by entry
+    and key. One row is held back until it is known whether another follows."""
+    held: pa.RecordBatch | None = None
+    open_entry: int | None = None  # the last entry, if several sets are known to have it
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        entry, key = (np.asarray(batch.column(c)) for c in ("entry", "key"))
+        if not entry.size:
+            continue
+        fresh = np.ones(entry.size, bool)
+        fresh[1:] = (entry[1:] != entry[:-1]) | (key[1:] != key[:-1])
+        if not fresh.all():
+            batch = batch.filter(pa.array(fresh))
+            entry, key = entry[fresh], key[fresh]
+        like = entry[1:] == entry[:-1]
+        keep = np.concatenate([[False], like]) | np.concatenate([like, [False]])
+        if open_entry is not None:
+            keep |= entry == open_entry
+        open_entry = int(entry[-1]) if keep[-1] else None
+        # The last row stays for the next batch: as a set that may come again, or as a lone one.
+        held = batch.slice(entry.size - 1)
+        keep[-1] = False
+        if keep.any():
+            yield batch.filter(pa.array(keep))
+    if held is not None and open_entry is not None:
+        yield held
+
+
 def _shared(entries: DataFrame) -> DataFrame:
-    """The members of buckets that hold several sets."""
-    several = entries.groupBy("entry").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi")
-    return entries.join(several.select("entry"), "entry").withColumn("component", F.col("key"))
+    """The members of buckets that hold several sets, from one shuffle of the index."""
+    ordered = entries.repartition("entry").sortWithinPartitions("entry", "key")
+    return ordered.mapInArrow(_several, entries.schema).withColumn("component", F.col("key"))
 
 
 def _with_component(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -298,25 +329,41 @@ def _size_fits(settings: JoinSettings, a: str, b: str):
     return settings.denominator * F.least(a, b) >= settings.numerator * F.greatest(a, b)
 
 
+def _linked(pairs: DataFrame, texts: DataFrame, settings: JoinSettings) -> DataFrame:
+    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(one, "a").join(two, "b").mapInArrow(_verify(settings), "u long, v long")
+
+
 def _hub_round(members: DataFrame, texts: DataFrame, settings: JoinSettings) -> tuple[DataFrame, DataFrame]:
     """Links between the hub of each bucket and its members of other components; and the members
-    without the hubs. The hub is the member of the smallest number: sets that share many buckets
-    mostly have the same one, so their pairs are few."""
-    hubs = members.groupBy("entry").agg(F.min(F.struct("key", "n", "component")).alias("hub"))
+    without the hubs. The hub is the member that shares its buckets with most others: of the copies
+    of a text that is the one nearest to all, and the same one in all their buckets."""
+    sizes = members.groupBy("entry").agg(F.count("key").alias("size"))
+    central = members.join(sizes, "entry").groupBy("key").agg(F.sum("size").alias("shared"))
+    known = members.join(central, "key")
+    hubs = known.groupBy("entry").agg(F.max(F.struct("shared", "key", "n", "component")).alias("hub"))
     both = members.join(hubs, "entry")
     apart = both.filter(F.col("component") != F.col("hub.component")).filter(_size_fits(settings, "n", "hub.n"))
     pairs = apart.select(F.greatest("key", "hub.key").alias("a"), F.least("key", "hub.key").alias("b")).distinct()
-    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    links = pairs.join(one, "a").join(two, "b").mapInArrow(_verify(settings), "u long, v long")
-    return links, both.filter(F.col("key") != F.col("hub.key")).drop("hub")
+    return _linked(pairs, texts, settings), both.filter(F.col("key") != F.col("hub.key")).drop("hub")
 
 
 def _block_links(members: DataFrame, texts: DataFrame, scratch: Scratch, settings: JoinSettings) -> DataFrame:
-    """Links between components in the buckets that are still mixed, block by block."""
-    met = clusters.cells(members, scratch, settings.block)
-    blocks = met.join(texts, "key").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return blocks.mapInArrow(_blocks(settings), "u long, v long")
+    """Links between components in the buckets that are still mixed.
+
+    Blocks of numbers only tell which pairs are possible; these are verified on the full sets."""
+    own = scratch.keep(clusters.grouped(members, scratch, settings.block))
+    tokens = own.select("cluster", "key").join(texts, "key").mapInArrow(_tokens(settings), "cluster long, key long, token long")
+    alone = tokens.groupBy("cluster", "token").agg(F.min("key").alias("key"), F.max("key").alias("hi")).filter("key = hi")
+    alone = alone.groupBy("cluster", "key").agg(F.count("token").alias("alone"))
+    sizes = members.select("key", F.col("n").cast("long").alias("n")).distinct()
+    numbers = own.select("cluster", "key").join(alone, ["cluster", "key"], "left").join(sizes, "key")
+    numbers = scratch.keep(numbers.select("cluster", "key", "n", F.coalesce("alone", F.lit(0)).alias("alone")))
+    met = clusters.cells(own, scratch, settings.block).join(numbers, ["cluster", "key"])
+    blocks = met.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    pairs = scratch.keep(blocks.mapInArrow(_possible(settings), "a long, b long").distinct())
+    return _linked(pairs, texts, settings)
 
 
 def similarity_components(
@@ -335,8 +382,9 @@ def similarity_components(
     scratch = Scratch(docs.sparkSession, "combos")
     docs = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     measured = scratch.keep(docs.mapInArrow(_measured(settings), "id long, n long, key long, block long, counts binary"))
-    rows = measured.filter("n is not null").select("id", "n", "key")
+    rows = scratch.keep(measured.filter("n is not null").select("id", "n", "key"))
     counts = sketch.totals(measured.filter("n is null").select("block", "counts"), 1 << settings.counters)
+    scratch.drop(measured)
     last = limits(counts, settings)
     steps = docs.sparkSession.sparkContext.broadcast(frequency_steps(counts).tobytes())
     named = docs.filter("id is not null")

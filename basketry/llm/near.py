@@ -335,6 +335,6 @@ def _cross_links(
     known = known.select("entry", "key", F.coalesce("component", "key").alias("component"))
     mixed = known.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     members = scratch.keep(known.join(mixed.filter("lo < hi").select("entry"), "entry"))
-    met = clusters.cells(members, scratch, settings.block)
+    met = clusters.cells(scratch.keep(clusters.grouped(members, scratch, settings.block)), scratch, settings.block)
     blocks = met.join(sigs, "key").join(texts, "key").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return blocks.mapInArrow(_cross(settings), "u long, v long")
