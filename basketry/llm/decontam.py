@@ -27,12 +27,11 @@ from basketry.llm.ship import ship
 
 @dataclass(frozen=True)
 class LeakSettings:
-    """Threshold as a ratio, bytes of items at a time, bytes of the longest item."""
+    """Threshold as a ratio, and bytes of items at a time."""
 
     numerator: int = 75
     denominator: int = 100
     block_bytes: int = 4 << 20
-    longest_item: int = 1 << 20
 
 
 class Lookup:
@@ -165,21 +164,23 @@ def leaks(
 
     Null or empty texts and items have no leaks. A document without an id gives rows with a null
     doc_id; rows that repeat give their rows again, and so do repeated items. Extra columns are
-    ignored. An item longer than `longest_item` bytes raises an error, as it would have to be
-    held whole in every task.
+    ignored. An item longer than a block is a block of its own, as it is held whole in the tasks.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text rlike '[^\\\\s]'")
+    # Long items have a block each; they are few, as there is one row per item of such a size.
     size = F.octet_length("text")
-    total, longest = items.agg(F.sum(size), F.max(size)).first()
-    if (longest or 0) > settings.longest_item:
-        raise ValueError(f"an item has {longest} bytes; at most {settings.longest_item} are allowed")
+    long = F.col("text").isNotNull() & (size * 2 > settings.block_bytes)
+    total = items.filter(~long).agg(F.sum(size)).first()[0]
     blocks = max(-(-(total or 0) * 2 // settings.block_bytes), 1)
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    own = [items.filter(~long & (place == b)) for b in range(blocks)]
+    digests = items.filter(long).select(F.sha2(F.col("text").cast("binary"), 256).alias("d")).distinct().collect()
+    own += [items.filter(long & (F.sha2(F.col("text").cast("binary"), 256) == r.d)) for r in digests]
     out = None
-    for b in range(blocks):
-        own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        rows = own.orderBy("item_id", "text").collect()  # about block_bytes / 2 of items
+    for block in own:
+        rows = block.orderBy("item_id", "text").collect()  # about block_bytes / 2 of items, or one text
         shared = docs.sparkSession.sparkContext.broadcast(Items([r[0] for r in rows], [r[1] for r in rows], settings))
         found = docs.mapInArrow(_run(shared), LEAKS)
         out = found if out is None else out.union(found)

@@ -4,7 +4,9 @@ Every host gets a tree of path templates. Numbers in a segment are variable at o
 that, a segment becomes a wildcard where a node has many children with few pages each. Sibling
 branches of the same form whose shares of blocked labels do not differ significantly are merged.
 A template is rejected if its smoothed share of blocked labels is high; the labels are the
-verdicts of the rules, or a column of the pages. All steps are DataFrame operations; pages are
+verdicts of the rules, or a column of the pages. What a template's own labels are smoothed with
+is the share of the same template on all hosts, and that in turn with an even one; so a template
+that no label touches on its own host is judged by what it is on others. All steps are DataFrame operations; pages are
 counted by (host, path form) before anything else, and a hot host is summed up in the map tasks.
 """
 
@@ -34,7 +36,7 @@ class Rule:
 class TemplateSettings:
     """Levels of the tree (what lies deeper is one wildcard), children from which a node is
     generalised if each has fewer than `support` pages, labels that a branch needs to be merged,
-    z-value up to which shares count as alike, weight of the even prior, share to reject above."""
+    z-value up to which shares count as alike, weight of the prior, share to reject above."""
 
     levels: int = 4
     children: int = 20
@@ -111,6 +113,10 @@ def _merged(templates: DataFrame, settings: TemplateSettings) -> DataFrame:
     )
 
 
+def _smoothed(bad: Column, good: Column, prior: Column, settings: TemplateSettings) -> Column:
+    return (bad + prior * settings.prior) / (bad + good + settings.prior)
+
+
 def judge(
     pages: DataFrame, rules: Sequence[Rule], url: str = "url", blocked: str | None = None,
     settings: TemplateSettings = TemplateSettings(),
@@ -120,8 +126,8 @@ def judge(
     A null address or one without :// has an empty host and path and is judged like any other. The
     verdict is that of the longest rule that fits; without one, a page is blocked if the smoothed
     share of blocked labels of its template is above the limit. `blocked` names a boolean label
-    column; without it the rules' verdicts are the labels. A template without labels has an even
-    share and is allowed. Columns of the given names are replaced; all rows stay.
+    column; without it the rules' verdicts are the labels. A template without labels on
+    any host has an even share and is allowed. Columns of the given names are replaced; all rows stay.
     """
     new = ["host", "path", "rule", "template", "purity", "verdict"]
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in new]
@@ -135,8 +141,11 @@ def judge(
     )
     shaped = _templates(forms, settings)
     templates = shaped.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    purity = (F.col("bad") + 0.5 * settings.prior) / (F.col("bad") + F.col("good") + settings.prior)
-    judged = _merged(templates, settings).select("host", "template", purity.alias("purity"))
+    everywhere = templates.groupBy("template").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
+    everywhere = everywhere.select("template", _smoothed(F.col("b"), F.col("g"), F.lit(0.5), settings).alias("prior"))
+    own = _merged(templates, settings).join(everywhere, "template")
+    purity = _smoothed(F.col("bad"), F.col("good"), F.col("prior"), settings)
+    judged = own.select("host", "template", purity.alias("purity"))
     by_form = shaped.select("host", F.col("form").alias("_form"), "template").join(judged, ["host", "template"])
     out = base.join(by_form, ["host", "_form"])
     verdict = F.coalesce("_ruled", F.when(F.col("purity") > settings.reject, F.lit("block")).otherwise(F.lit("allow")))

@@ -367,3 +367,22 @@ def test_near_duplicates_of_rows_that_share_an_id(spark):
         docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
         got = sorted((r.doc_id, r.component_id) for r in near.near_duplicates(docs).collect())
         assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_templates_without_labels_are_judged_by_other_hosts(spark):
+    rows = [(i, f"https://a{i % 5}.net/promo/{i}") for i in range(50)] + [(100 + i, f"https://shop.com/promo/{i}") for i in range(5)]
+    rows += [(200 + i, f"https://w{i % 4}.org/fr/story") for i in range(40)] + [(300 + i, "https://shop.com/fr/story") for i in range(3)]
+    rows += [(400, "https://shop.com/unseen"), (401, None)]
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), RULES).collect()}
+    assert {got[i] for i in range(50)} == {("net/", "block")}
+    assert {got[100 + i] for i in range(5)} == {(None, "block")}
+    assert {got[300 + i] for i in range(3)} == {(None, "allow")} and got[400] == got[401] == (None, "allow")
+
+
+def test_very_long_benchmark_items(spark):
+    rnd = random.Random(2)
+    long = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(20_000))
+    docs = spark.createDataFrame([(1, "x " + long + " y"), (2, "nothing of it"), (3, long[:1000])], "doc_id long, text string")
+    items = spark.createDataFrame([(7, long), (8, long[:1000]), (9, long)], "item_id long, text string")
+    found = decontam.leaks(docs, items, settings=decontam.LeakSettings(block_bytes=20_000))
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 7), (1, 8), (1, 9), (3, 8)]
