@@ -18,8 +18,10 @@ from basketry.functions.parse import of_type
 from basketry.operators.sessions import carry, session_states
 from basketry.plans import gold, kpi, serving, warehouse
 from basketry.session import scratch_path
-from basketry.sources.files import delete_folder, read_dataset
+from basketry.sources.catalog import refresh_statistics, register_dataset
+from basketry.sources.files import delete_folder, ensure_folder, folder_names, read_dataset
 from basketry.streaming import app, upsert_log
+from basketry.streaming.bronze import DATE_PARTS
 from basketry.streaming.tables import replace_since, replace_table, write_ranked
 
 LAST_DAY = dt.date(9998, 12, 31)
@@ -46,10 +48,47 @@ def build_silver(spark: SparkSession, settings: Settings, first_day: dt.date | N
     """
     orders = gold.dedup_orders(bronze_orders(spark, settings, first_day))
     orders = orders.withColumn("order_date", F.to_date("event_time")).select(*SILVER_ORDERS.fieldNames())
+    staged = None
     if first_day is not None:
-        known = silver_orders(spark, settings).filter(F.col("order_date") < first_day)
-        orders = _without(orders, known, "order_id")
+        staged = scratch_path(spark, "orders")
+        orders.write.parquet(staged)
+        orders = without_repeats(spark, settings, spark.read.schema(SILVER_ORDERS).parquet(staged), first_day)
     replace_since(orders, settings.silver("orders"), "order_date", first_day, scratch_path(spark, "silver"))
+    fresh = silver_orders(spark, settings)
+    if first_day is not None:
+        fresh = fresh.filter(F.col("order_date") >= first_day)
+    replace_since(_hashes(fresh), settings.silver("order_index"), "order_date", first_day, scratch_path(spark, "index"), ["h"])
+    if staged is not None:
+        delete_folder(spark, staged)
+
+
+def _hashes(orders: DataFrame) -> DataFrame:
+    """The index of order ids: a number of eight bytes for each, by day."""
+    return orders.select("order_date", F.xxhash64("order_id").alias("h"))
+
+
+def without_repeats(spark: SparkSession, settings: Settings, orders: DataFrame, first_day: dt.date) -> DataFrame:
+    """The orders that silver does not have under an earlier day.
+
+    Earlier days are looked up in the index, which holds a hash of each id. Only the days in which a
+    hash is found are read from silver, and only their rows with such a hash are compared by id.
+    `orders` is a stored table with one row per id.
+    """
+    path = settings.silver("order_index")
+    earlier = F.col("order_date") < first_day
+    silver = silver_orders(spark, settings).filter(earlier)
+    index = _hashes(silver)
+    if folder_names(spark, path):
+        index = read_dataset(spark, path, index.schema).filter(earlier)
+    recent = _hashes(orders).select("h")
+    found = scratch_path(spark, "repeats")
+    index.join(recent, "h", "left_semi").distinct().write.parquet(found)
+    hits = spark.read.schema(index.schema).parquet(found)
+    days = [r.order_date for r in hits.select("order_date").distinct().collect()]  # at most one a day
+    if not days:
+        return orders
+    known = silver.filter(F.col("order_date").isin(days)).withColumn("h", F.xxhash64("order_id"))
+    return _without(orders, known.join(hits, ["order_date", "h"], "left_semi"), "order_id")
 
 
 def silver_orders(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -169,6 +208,43 @@ def load_warehouse(
     store("stg_daily_revenue", warehouse.stage_daily_revenue(daily))
 
 
+AGGREGATES = schemas.select(
+    schemas.FACT_ORDERS, "order_id", "date_key", "order_status", "quantity", "unit_price", "total_amount",
+    "shipping_country", "order_timestamp",
+)
+
+
+def load_aggregates(spark: SparkSession, settings: Settings, first_day: dt.date | None = None) -> None:
+    """Bring the table of daily aggregates, one row per day, country and category, up to date with the
+    staged revenue: the rows of the staged days from first_day on are replaced in one step."""
+    staged = read_table(spark, settings, "stg_daily_revenue")
+    path, known = table_path(settings, "fact_daily"), read_dataset(spark, table_path(settings, "fact_daily"), AGGREGATES)
+    if first_day is not None:
+        staged = staged.filter(F.col("order_date") >= first_day)
+        known = known.filter(F.col("date_key") >= _day_number(first_day))
+    rows = warehouse.replace_aggregates(known, staged)
+    first = first_day and _day_number(first_day)
+    replace_since(warehouse.as_table(rows, AGGREGATES), path, "date_key", first, scratch_path(spark, "aggregates"))
+
+
+def publish_catalog(spark: SparkSession, settings: Settings, database: str = "default") -> dict[str, list[str]]:
+    """Make bronze, gold and warehouse known in the catalog, with the folders that came since the last
+    call, and refresh the statistics of the tables that have new ones. Returns the new folders."""
+    datasets = {f"bronze_{t}": (settings.bronze(t), schemas.bronze(t), DATE_PARTS) for t in schemas.TOPIC_SCHEMAS}
+    datasets["gold_daily_revenue"] = (settings.gold("daily_revenue"), schemas.GOLD_DAILY_REVENUE, ("order_date",))
+    for name, schema in {**_TABLES, "fact_daily": AGGREGATES}.items():
+        parts = ("date_key",) if name.startswith("fact_") else ()
+        datasets[name] = (table_path(settings, name), schema, parts)
+    added = {}
+    for name, (path, schema, parts) in datasets.items():
+        ensure_folder(spark, path)
+        table = f"{database}.{name}"
+        added[name] = register_dataset(spark, table, path, schema, parts)
+        if added[name] or not parts:
+            refresh_statistics(spark, table)
+    return added
+
+
 def refresh_summary(spark: SparkSession, settings: Settings, first_day: dt.date) -> None:
     """Bring the days from first_day on of the daily summary up to date."""
     revenue = metric_table(spark, settings, "revenue_per_minute")

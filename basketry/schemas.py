@@ -15,6 +15,11 @@ def _schema(*columns: str) -> StructType:
     return out
 
 
+def select(schema: StructType, *names: str) -> StructType:
+    """Some fields of a schema, in the order of the names."""
+    return StructType([schema[name] for name in names])
+
+
 # Field names and types of the JSON events.
 ORDER_PLACED = _schema(
     "event_type string", "order_id string", "user_id string", "session_id string",

@@ -35,7 +35,9 @@ def register_dataset(
         new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in known]
         if new:
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
-    added = new_folders(spark, table, path, partitions) if partitions else []
+    # A folder that a stream writes is no partitioned table: the log of its sink names the files.
+    parted = any(c.isPartition for c in spark.catalog.listColumns(table))
+    added = new_folders(spark, table, path, partitions) if parted else []
     for lo in range(0, len(added), 100):
         specs = " ".join(f"PARTITION ({_spec(folder)}) LOCATION '{path.rstrip('/')}/{folder}'" for folder in added[lo : lo + 100])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")

@@ -149,3 +149,21 @@ def test_states_of_sessions_over_days(spark):
     assert rows(late) == rows(want, *late.columns)
     with pytest.raises(ValueError):
         session_states(df, None, "user", "at", 86400, measures)
+
+
+def test_repeats_are_looked_up_in_the_index(spark, runs, monkeypatch):
+    """The same rows as an anti join with all earlier ids, and of silver only days with a hit are read."""
+    step, _ = runs
+    first = dt.date(2024, 5, 4)
+    earlier = jobs.silver_orders(spark, step).filter(F.col("order_date") < first)
+    again = earlier.filter(F.col("order_date") == dt.date(2024, 5, 2)).limit(3)
+    new = jobs.silver_orders(spark, step).filter(F.col("order_date") >= first)
+    mixed = new.unionByName(again)
+    want = rows(jobs._without(mixed, earlier, "order_id"), "order_id")
+    got = jobs.without_repeats(spark, step, mixed, first)
+    assert rows(got, "order_id") == want and len(want) == new.count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = [line.split("PartitionFilters: ")[1] for line in plan.split("\n") if "silver/orders" in line and "PartitionFilters" in line]
+    assert any("2024-05-02" in f or "19845" in f for f in filters)
+    alone = jobs.without_repeats(spark, step, new, first)
+    assert rows(alone, "order_id") == rows(new, "order_id")

@@ -195,3 +195,28 @@ def test_stored_orders_are_read_without_a_shuffle(spark, lake):
     orders = jobs.silver_orders(spark, lake).filter(F.col("order_date") >= dt.date(2024, 3, 4))
     plan = orders._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "order_date" in plan.split("PartitionFilters:")[1].split("\n")[0]
+
+
+def test_aggregates_are_replaced_by_day(spark, lake):
+    jobs.load_aggregates(spark, lake)
+
+    def daily():
+        df = spark.read.schema(jobs.AGGREGATES).parquet(jobs.table_path(lake, "fact_daily"))
+        return rows(df.select("order_id", "date_key", "quantity", F.col("total_amount").cast("string")))
+
+    before = daily()
+    staged = jobs.read_table(spark, lake, "stg_daily_revenue")
+    assert len(before) == staged.count() and sum(r[2] for r in before) == 400
+    jobs.load_aggregates(spark, lake, dt.date(2024, 3, 4))
+    assert daily() == before
+
+
+def test_catalog_knows_the_lake(spark, lake):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    jobs.load_aggregates(spark, lake)
+    first = jobs.publish_catalog(spark, lake, "shop")
+    assert len(first["fact_orders"]) == 6 and first["dim_users"] == []
+    assert spark.table("shop.fact_orders").count() == 400 and spark.table("shop.bronze_orders").count() == 498
+    stats = spark.sql("DESCRIBE EXTENDED shop.fact_orders").filter("col_name = 'Statistics'").first()
+    assert "400 rows" in stats.data_type
+    assert not any(jobs.publish_catalog(spark, lake, "shop").values())
