@@ -12,6 +12,8 @@ from basketry.llm.scratch import Scratch
 
 #: Parts that the links of one node are dealt to, so that a hub does not fill a single task.
 PARTS = 8
+#: Links that a task holds or so; a graph of few links is done by few tasks.
+LINKS = 100_000
 _LINK = "u long, v long"
 
 
@@ -48,10 +50,10 @@ def _hung(greater_only: bool):
     return run
 
 
-def _by_node(links: DataFrame) -> DataFrame:
+def _by_node(links: DataFrame, tasks: int) -> DataFrame:
     """Sorted by node; the links of one node lie in a few partitions, equal ones in the same."""
     dealt = links.repartition(F.col("u"), F.pmod(F.xxhash64("v"), F.lit(PARTS)))
-    return dealt.sortWithinPartitions("u", "v")
+    return dealt.coalesce(tasks).sortWithinPartitions("u", "v")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -68,9 +70,10 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.keep(links.select(greater, F.least("u", "v").alias("v")).filter("u != v"))
     before = _fingerprint(now)
     while before[0]:
+        tasks = -(-before[0] // LINKS)
         both = now.union(now.select("v", "u"))
-        large = _by_node(both).mapInArrow(_hung(True), _LINK)
-        after = scratch.keep(_by_node(large).mapInArrow(_hung(False), _LINK))
+        large = _by_node(both, tasks).mapInArrow(_hung(True), _LINK)
+        after = scratch.keep(_by_node(large, tasks).mapInArrow(_hung(False), _LINK))
         seen = _fingerprint(after)
         scratch.drop(now)
         now = after
