@@ -51,7 +51,7 @@ class JoinSettings:
     counters: int = 24
     alone: int = 32
     paired: int = 2048
-    rounds: int = 2
+    rounds: int = 1
     block: int = 512
 
     def lacking(self, n: int) -> int:
@@ -335,7 +335,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, settings: JoinSettings) -> DataF
     return pairs.join(one, "a").join(two, "b").mapInArrow(_verify(settings), "u long, v long")
 
 
-def _hub_round(members: DataFrame, texts: DataFrame, settings: JoinSettings) -> tuple[DataFrame, DataFrame]:
+def _hub_round(members: DataFrame, texts: DataFrame, scratch: Scratch, settings: JoinSettings) -> tuple[DataFrame, DataFrame]:
     """Links between the hub of each bucket and its members of other components; and the members
     without the hubs. The hub is the member that shares its buckets with most others: of the copies
     of a text that is the one nearest to all, and the same one in all their buckets."""
@@ -343,7 +343,7 @@ def _hub_round(members: DataFrame, texts: DataFrame, settings: JoinSettings) ->
     central = members.join(sizes, "entry").groupBy("key").agg(F.sum("size").alias("shared"))
     known = members.join(central, "key")
     hubs = known.groupBy("entry").agg(F.max(F.struct("shared", "key", "n", "component")).alias("hub"))
-    both = members.join(hubs, "entry")
+    both = scratch.keep(members.join(hubs, "entry"))  # read twice
     apart = both.filter(F.col("component") != F.col("hub.component")).filter(_size_fits(settings, "n", "hub.n"))
     pairs = apart.select(F.greatest("key", "hub.key").alias("a"), F.least("key", "hub.key").alias("b")).distinct()
     return _linked(pairs, texts, settings), both.filter(F.col("key") != F.col("hub.key")).drop("hub")
@@ -400,7 +400,7 @@ def similarity_components(
 
     links = scratch.keep(_same_id(rows))
     for _ in range(settings.rounds):
-        found, left = _hub_round(members, texts, settings)
+        found, left = _hub_round(members, texts, scratch, settings)
         links = links.union(scratch.keep(found))
         joined = scratch.keep(components(links, scratch))
         before, members = members, scratch.keep(_still_mixed(_with_component(left, joined)))
