@@ -43,7 +43,7 @@ class NearSettings:
     numerator: int = 75
     denominator: int = 100
     miss: float = 1e-4
-    block: int = 1024
+    block: int = 512
 
 
 def least_matches(n: int, threshold: float, miss: float) -> int:
