@@ -67,15 +67,23 @@ def failed_payments(payments: DataFrame, settings: Settings = DEFAULTS) -> DataF
     return _flat(agg, "failure_count", "failure_amount")
 
 
-def active_users_approx(activity: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    agg = _by_window(activity, settings).agg(
-        F.approx_count_distinct("user_id").alias("active_user_count")
-    )
-    return _flat(agg, "active_user_count")
+# Fixed value: 2 ** 14 registers give a standard error of about 0.8 percent. Up to some 1,500
+# values a sketch holds the hashes themselves, and its count is exact but for equal hashes.
+SKETCH_SIZE = 14
+
+
+def _approx_distinct(column: str) -> Column:
+    """About how many distinct values there are, within a few percent at any number of them.
 
+    The registers of approx_count_distinct are so few that a window of a dozen values in tens of
+    thousands is off by more than 15 percent. The mark before the value makes an empty text count.
+    """
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.concat(F.lit("="), F.col(column)), SKETCH_SIZE))
 
-# Fixed value: 2 ** 12 registers give a standard error of about 1.6 percent.
-SKETCH_SIZE = 12
+
+def active_users_approx(activity: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    agg = _by_window(activity, settings).agg(_approx_distinct("user_id").alias("active_user_count"))
+    return _flat(agg, "active_user_count")
 
 
 def user_sketches(activity: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -86,7 +94,9 @@ def user_sketches(activity: DataFrame, settings: Settings = DEFAULTS) -> DataFra
 
 def active_users_over(sketches: DataFrame, span: str) -> DataFrame:
     """Distinct users per longer span, such as an hour or a day, from stored sketches of windows."""
-    merged = sketches.groupBy(F.window("window_start", span).alias("w")).agg(F.hll_union_agg("users").alias("users"))
+    merged = sketches.groupBy(F.window("window_start", span).alias("w")).agg(
+        F.hll_union_agg("users", True).alias("users")  # sketches stored before may be smaller
+    )
     return _flat(merged, F.hll_sketch_estimate("users").alias("active_user_count"))
 
 
@@ -119,7 +129,7 @@ def with_open_windows(
 
 def click_windows(clicks: DataFrame, exact: bool = False, settings: Settings = DEFAULTS) -> DataFrame:
     """Page views, distinct sessions and the page seen first; exact counts are for tables."""
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    distinct = F.count_distinct if exact else _approx_distinct
     first = F.min_by("page_url", F.struct("event_time", "event_id"))
     agg = _by_window(clicks, settings).agg(
         F.count("event_id").alias("page_views"),
