@@ -31,9 +31,11 @@ def assign_keys(
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in natural])
         rows = df.join(stored, same, "left")
     known = F.col("_known") if existing is not None else F.lit(None).cast("bigint")
-    hashed = rows.withColumn("_digest", F.md5(text)).withColumn(
-        "_bucket", F.conv(F.substring("_digest", 1, hex_digits), 16, 10).cast("int")
-    )
+    # The digest travels as its 16 bytes, which sort as its text does.
+    hashed = rows.withColumns({
+        "_digest": F.unhex(F.md5(text)),
+        "_bucket": F.conv(F.substring(F.md5(text), 1, hex_digits), 16, 10).cast("int"),
+    })
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(known.isNotNull(), "_digest", *natural))
     start = after if isinstance(after, Column) else F.lit(after)
     number = start + (rank.cast("bigint") - 1) * 16**hex_digits + F.col("_bucket") + 1

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.operators.ranking import top_k_per_group
-from basketry.operators.skew import fits_broadcast, heavy_keys, split_heavy
+from basketry.operators.skew import fits_broadcast, heavy_keys, skew_join, split_heavy
 
 
 def scd2(
@@ -100,8 +100,9 @@ def as_of_lookup(
     """Add columns of the version that was valid at the time of the fact; null if none was.
 
     A dimension is broadcast if it is small and no key has many versions, which is counted
-    unless `versions_per_key` tells. Otherwise facts and versions are merged in order of time,
-    one pass per key, so a key with many versions costs no comparison of each with each.
+    unless `versions_per_key` tells. If it tells that a key has one version, there is nothing to
+    look for in time, and a join balanced by key does. Otherwise facts and versions are merged in
+    order of time, one pass per key, so a key with many versions costs no comparison of each with each.
     A version without key or start is never valid, and a fact without key or time finds none.
     `stored` and `counted` are as in lookup_join and skew_join.
     """
@@ -112,9 +113,11 @@ def as_of_lookup(
     if small and versions_per_key is None:
         counts = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
         versions_per_key = counts.agg(F.max("n")).first()[0] or 0
+    valid = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
+    if not small and versions_per_key == 1:
+        return skew_join(fact, versions, on, "left", valid, counted).drop("_from", "_to")
     if small and versions_per_key <= FEW_VERSIONS:
         side = versions.withColumnsRenamed({c: f"_r_{c}" for c in on})
-        valid = (F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to")))
         for c in on:
             valid = valid & (F.col(c) == F.col(f"_r_{c}"))
         joined = fact.join(F.broadcast(side), valid, "left")

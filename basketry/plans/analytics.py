@@ -13,7 +13,7 @@ from basketry.functions.scalars import money, percent, ratio
 from basketry.operators.funnel import funnel_steps
 from basketry.operators.intervals import trailing_counts
 from basketry.operators.ranking import top_n
-from basketry.operators.skew import lookup_join, skew_join
+from basketry.operators.skew import fits_broadcast, lookup_join, skew_join
 from basketry.plans.gold import dedup_orders, first_payments
 
 
@@ -46,16 +46,27 @@ def top_products_of_month(
 
 
 def revenue_by_country(fact: DataFrame, dim_users: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Country of the order, or that of the buyer where the order has none."""
+    """Country of the order, or that of the buyer where the order has none.
+
+    Facts are summed up per country, or per buyer where they have none, before any buyer is looked
+    up; so the join sees one row per buyer, however many orders a buyer has.
+    """
     buyers = dim_users.select("user_key", F.col("country").alias("_home"))
-    rows = lookup_join(fact, buyers, ["user_key"], "left", stored=stored)
-    total = F.sum("total_amount")
+    asked = F.when(F.col("shipping_country").isNull(), F.col("user_key")).alias("user_key")
+    sums = fact.groupBy("shipping_country", asked).agg(
+        F.sum("total_amount").alias("_total"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("total_amount").alias("_amounts"),
+    )
+    side = F.broadcast(buyers) if fits_broadcast(stored if stored is not None else dim_users) else buyers
+    total = F.sum("_total")
     return (
-        rows.groupBy(F.coalesce("shipping_country", "_home").alias("country"))
+        sums.join(side, "user_key", "left")
+        .groupBy(F.coalesce("shipping_country", "_home").alias("country"))
         .agg(
             total.alias("total_revenue"),
-            F.count(F.lit(1)).alias("order_count"),
-            ratio(total, F.count("total_amount")).alias("avg_order_value"),
+            F.sum("_rows").alias("order_count"),
+            ratio(total, F.sum("_amounts")).alias("avg_order_value"),
         )
         .orderBy(F.col("total_revenue").desc())
     )
