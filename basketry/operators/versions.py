@@ -95,7 +95,7 @@ FEW_VERSIONS = 100
 def as_of_lookup(
     fact: DataFrame, dim: DataFrame, on: list[str], time: str, columns: Sequence[str],
     stored: DataFrame | None = None, counted: DataFrame | None = None,
-    versions_per_key: int | None = None,
+    versions_per_key: int | None = None, times: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of the version that was valid at the time of the fact; null if none was.
 
@@ -104,7 +104,7 @@ def as_of_lookup(
     look for in time, and a join balanced by key does. Otherwise facts and versions are merged in
     order of time, one pass per key, so a key with many versions costs no comparison of each with each.
     A version without key or start is never valid, and a fact without key or time finds none.
-    `stored` and `counted` are as in lookup_join and skew_join.
+    `stored` and `counted` are as in lookup_join and skew_join, `times` as in merge_as_of.
     """
     versions = dim.select(
         *on, *columns, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
@@ -122,27 +122,33 @@ def as_of_lookup(
             valid = valid & (F.col(c) == F.col(f"_r_{c}"))
         joined = fact.join(F.broadcast(side), valid, "left")
         return joined.drop("_from", "_to", *[f"_r_{c}" for c in on])
-    return merge_as_of(fact, versions, on, time, columns, counted)
+    return merge_as_of(fact, versions, on, time, columns, counted, times)
 
 
 def merge_as_of(
     fact: DataFrame, versions: DataFrame, on: list[str], time: str, columns: Sequence[str],
-    counted: DataFrame | None = None,
+    counted: DataFrame | None = None, times: DataFrame | None = None,
 ) -> DataFrame:
     """The sorted form of as_of_lookup; versions hold _from and _to and do not overlap.
 
     A heavy key is cut into slots of about equally many rows, facts and versions together, at
     quantiles of their times, so a burst fills as many slots as its rows ask for. A slot knows of
     the versions before it by one row, the last of them; none is repeated. Facts of one instant
-    that fill several slots are dealt to all of these.
+    that fill several slots are dealt to all of these. `times` names a stored table that has
+    the keys and times of facts and versions together in about the same shares; the slots are then
+    taken from it, and neither side is worked out more than once.
     """
     given = fact.columns
     facts = fact.withColumn("_fact", F.struct(*given)).select(*on, F.col(time).alias("_at"), F.lit(1).alias("_kind"), "_fact")
     known = versions.select(
         *on, F.col("_from").alias("_at"), F.lit(0).alias("_kind"), F.struct(*columns, "_to").alias("_version")
     )
-    times = (fact if counted is None or time not in counted.columns else counted).select(*on, F.col(time).alias("_at"))
-    bounds = _quantiles(times.unionByName(versions.select(*on, F.col("_from").alias("_at"))), on)
+    if times is None:
+        asked = (fact if counted is None or time not in counted.columns else counted).select(*on, F.col(time).alias("_at"))
+        at = asked.unionByName(versions.select(*on, F.col("_from").alias("_at")))
+    else:
+        at = times.select(*on, F.col(time).alias("_at"))
+    bounds = _quantiles(at, on)
     slotted = [_slotted(rows, bounds, on) for rows in (facts, known)]
     both = slotted[0].unionByName(slotted[1], allowMissingColumns=True)
     rows = both.unionByName(_carried(slotted[1], bounds, on), allowMissingColumns=True)

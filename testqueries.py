@@ -566,10 +566,11 @@ def fact_orders_as_of(spark, sf):
     versions = warehouse.build_dimension(
         _versions(spark, sf), ["product_id", "effective_from"], "product_key"
     )
-    orders_read = tv.product_changes(spark, sf)
+    # Both the orders and the versions come from the line items, by product and day.
+    days = tv.product_changes(spark, sf).select("product_id", F.col("changed_at").alias("event_time"))
     return as_of_lookup(
         orders, versions, ["product_id"], "event_time", ["product_key", "rate", "status"],
-        tv.table(spark, sf, "lineitem"), orders_read,
+        tv.table(spark, sf, "lineitem"), times=days,
     )
 
 
