@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from basketry.llm.scratch import Scratch
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -73,9 +75,12 @@ def _segments(path: Column, levels: int) -> Column:
     return F.when(F.size(parts) > levels, F.concat(head, F.array(F.lit("**")))).otherwise(head)
 
 
-def _templates(forms: DataFrame, settings: TemplateSettings) -> DataFrame:
-    """Adds `template` to (host, form, n, bad, good): the form with wildcards, level by level."""
-    out = forms.withColumn("template", F.lit(""))
+def _templates(forms: DataFrame, settings: TemplateSettings, scratch: Scratch) -> DataFrame:
+    """Adds `template` to (host, form, n, bad, good): the form with wildcards, level by level.
+
+    A level reads the one before twice, so each is stored; else the plan would double by level.
+    """
+    out = scratch.keep(forms.withColumn("template", F.lit("")))
     for level in range(settings.levels):
         segment = F.get("form", F.lit(level))
         inner = out.filter(F.size("form") > level)
@@ -84,7 +89,9 @@ def _templates(forms: DataFrame, settings: TemplateSettings) -> DataFrame:
         wide = nodes.filter((F.col("kinds") > settings.children) & (F.col("pages") < settings.support * F.col("kinds")))
         marked = out.join(wide.select("host", "template", F.lit(True).alias("wide")), ["host", "template"], "left")
         name = F.concat("template", F.lit("/"), F.when(F.col("wide"), F.lit("*")).otherwise(segment))
-        out = marked.withColumn("template", F.when(F.size("form") > level, name).otherwise(F.col("template"))).drop("wide")
+        named = marked.withColumn("template", F.when(F.size("form") > level, name).otherwise(F.col("template"))).drop("wide")
+        before, out = out, scratch.keep(named)
+        scratch.drop(before)
     rest = F.when(F.size("form") > settings.levels, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
     return out.withColumn("template", rest)
 
@@ -139,8 +146,11 @@ def judge(
     forms = base.groupBy("host", F.col("_form").alias("form")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.count_if(~bad).alias("good")
     )
-    shaped = _templates(forms, settings)
-    templates = shaped.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    scratch = Scratch(pages.sparkSession, "urls")
+    shaped = _templates(forms, settings, scratch)
+    templates = scratch.keep(
+        shaped.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    )
     everywhere = templates.groupBy("template").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
     everywhere = everywhere.select("template", _smoothed(F.col("b"), F.col("g"), F.lit(0.5), settings).alias("prior"))
     own = _merged(templates, settings).join(everywhere, "template")
