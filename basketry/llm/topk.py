@@ -3,14 +3,16 @@
 Vectors lie in blocks of bounded size, and every block of queries meets every block of vectors.
 A block keeps one list per dimension, sorted by value, that all its queries share: a positive
 component reads its list from the top, a negative one from the bottom. All lists are read side by
-side to growing depth. A vector's upper bound takes, for each list that has not shown it yet, the
-list's current value. The leading vectors are read to the end, so their lower bounds are their scores;
+side to growing depth, for many queries at once. A vector's upper bound takes, for each list that has not
+shown it yet, the list's current value; so the bounds of all pairs are two matrix products, of the
+lists' values as far as they are read. The leading vectors are read to the end, so their lower bounds are their scores;
 the k-th best of these rules out every vector whose upper bound lies below it. Reading stops when
 few are left, and what is left is resolved to exact scores. Nothing else than the bounds decides, so the result is exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,49 +37,54 @@ class TopSettings:
 class SortedLists:
     """A block of vectors with one sorted list for each dimension."""
 
+    TILE = 64  # queries whose bounds are held at once
+
     def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
         self.ids, self.values = ids, values
         self.exact = values.astype(np.float64)
-        rising = np.argsort(values, axis=0, kind="stable").T
-        # [falling or rising, dimension, rank]: row, and its value
-        self.rows = np.stack([rising[:, ::-1], rising])
-        self.ranked = np.take_along_axis(np.stack([self.exact.T] * 2), self.rows, axis=2)
-
-    def top(self, query: np.ndarray, own: int, settings: TopSettings) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows, without the query's own, best first."""
+        self.ranked = np.sort(self.exact, axis=0)  # each list from its bottom to its top
+
+    def top(self, queries: np.ndarray, own: np.ndarray, settings: TopSettings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of the k best rows, without the query's own, best first."""
+        weights = queries.astype(np.float64)
+        reach = np.abs(weights).sum(axis=1) * float(np.abs(self.exact).max(initial=0))
+        for lo in range(0, own.size, self.TILE):
+            tile = slice(lo, lo + self.TILE)
+            live = self.ids != own[tile, None]
+            sure = reach[tile] < 2**52  # else sums are not exact in doubles, and all rows are resolved as integers
+            live[sure] = self._left(weights[tile][sure], live[sure], settings)
+            for q, rows, exact in zip(range(lo, lo + live.shape[0]), map(np.flatnonzero, live), sure):
+                scores = (self.exact[rows] @ weights[q]).astype(np.int64) if exact else self.values[rows] @ queries[q]
+                k = min(settings.k, rows.size)
+                if 0 < k < rows.size:
+                    best = scores >= np.partition(scores, rows.size - k)[rows.size - k]
+                    rows, scores = rows[best], scores[best]
+                best = np.lexsort((self.ids[rows], -scores))[:k]
+                yield self.ids[rows[best]], scores[best]
+
+    def _left(self, weights: np.ndarray, live: np.ndarray, settings: TopSettings) -> np.ndarray:
+        """Of each query the rows that may be among the k best once the lists are read deep enough."""
         n = self.ids.size
-        live = np.flatnonzero(self.ids != own)
-        k = min(settings.k, live.size)
-        if k == 0:
-            return self.ids[:0], np.zeros(0, np.int64)
-        reach = float(np.abs(query.astype(np.float64)).sum()) * float(np.abs(self.exact).max(initial=0))
-        if reach < 2**52:  # else sums are not exact in doubles, and all rows are resolved as integers
-            live = self._left(query.astype(np.float64), live, k, settings, n)
-            scores = (self.exact[live] @ query.astype(np.float64)).astype(np.int64)
-        else:
-            scores = self.values[live] @ query
-        best = np.lexsort((self.ids[live], -scores))[:k]
-        return self.ids[live[best]], scores[best]
-
-    def _left(self, weight: np.ndarray, live: np.ndarray, k: int, settings: TopSettings, n: int) -> np.ndarray:
-        """The rows that may be among the k best once the lists are read deep enough."""
-        use = np.flatnonzero(weight)
-        if use.size == 0 or live.size <= k:
-            return live
-        w, way = weight[use], (weight[use] < 0).astype(np.int64)
+        leaders = min(2 * settings.k, n)
+        k = min(settings.k, leaders)
+        todo = np.flatnonzero(live.sum(axis=1) > settings.k)
         for depth in settings.depths:
+            if not todo.size:
+                break
             end = max(int(n * depth), 1)
-            value = self.ranked[way, use, :end] * w[:, None]
-            now = value[:, -1]
-            # A row gains over the lists' current values where it has been seen.
-            gain = np.bincount(self.rows[way, use, :end].ravel(), (value - now[:, None]).ravel(), n)
-            high = gain[live] + now.sum()
+            w = weights[todo]
+            # What has been seen counts as it is, all else as the value where its list stands now.
+            from_top = np.maximum(self.exact, self.ranked[n - end])
+            from_bottom = np.minimum(self.exact, self.ranked[end - 1])
+            high = np.maximum(w, 0) @ from_top.T + np.minimum(w, 0) @ from_bottom.T
+            high[~live[todo]] = -np.inf
             # The leaders' lower bounds are their scores, as they are read to the end.
-            lead = live[np.argpartition(-high, k - 1)[: 2 * k]]
-            kth = np.partition(self.exact[lead] @ weight, lead.size - k)[lead.size - k]
-            live = live[high >= kth]
-            if live.size <= max(k, settings.few * n):
-                break
+            lead = np.argpartition(high, n - leaders, axis=1)[:, n - leaders :]
+            score = np.einsum("qld,qd->ql", self.exact[lead], w)
+            score[np.isinf(np.take_along_axis(high, lead, axis=1))] = -np.inf
+            kth = np.partition(score, leaders - k, axis=1)[:, leaders - k]
+            live[todo] &= high >= kth[:, None]
+            todo = todo[live[todo].sum(axis=1) > max(settings.k, settings.few * n)]
         return live
 
 
@@ -96,8 +103,8 @@ def _block(settings: TopSettings):
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if vectors.num_rows and queries.num_rows:
             lists = SortedLists(np.asarray(vectors.column("vec_id")), _matrix(vectors.column("v")))
-            for own, query in zip(np.asarray(queries.column("vec_id")), _matrix(queries.column("v"))):
-                ids, scores = lists.top(query, int(own), settings)
+            asked = np.asarray(queries.column("vec_id"))
+            for own, (ids, scores) in zip(asked, lists.top(_matrix(queries.column("v")), asked, settings)):
                 out.append((np.full(ids.size, own), ids, scores))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])

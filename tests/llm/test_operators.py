@@ -7,6 +7,7 @@ import re
 import sys
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -324,6 +325,22 @@ def test_top_k_is_exact(spark):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("scale", [1, 2**30])
+def test_top_k_of_many_queries_at_once(scale):
+    """Bounds of a whole tile of queries, ties, own ids, and scores beyond exact doubles."""
+    rnd = np.random.default_rng(5)
+    values = rnd.integers(-9, 9, (500, 6)) * scale
+    ids = rnd.permutation(500)
+    queries = np.concatenate([values[:149], np.zeros((1, 6), np.int64)])
+    own = np.concatenate([ids[:149], [-1]])
+    got = list(topk.SortedLists(ids, values).top(queries, own, topk.TopSettings()))
+    for q, i, (best, scores) in zip(queries, own, got, strict=True):
+        all_scores = sorted((-int(s), int(j)) for j, s in zip(ids, values @ q) if j != i)[:5]
+        assert [(-int(s), int(j)) for j, s in zip(best, scores)] == all_scores
+    few = topk.SortedLists(ids[:3], values[:3])
+    assert [best.size for best, _ in few.top(queries[:4], own[:4], topk.TopSettings())] == [2, 2, 2, 3]
+
+
 @pytest.mark.parametrize("name", ["op1_chat_perspectives", "op10_top_k"])
 def test_query_matches_sql(spark, name):
     import duckdb
