@@ -100,6 +100,42 @@ def test_partners_share_an_entry(last):
             assert np.intersect1d(one, two).size
 
 
+def test_sketches_bound_the_difference():
+    """No fewer places than they differ in, at all sizes; sets with little in common are told apart."""
+    rnd = np.random.default_rng(9)
+    for n, m in [(1, 1), (1, 3), (40, 47), (64, 65), (200, 230), (700, 1400), (40_000, 33_000)]:
+        for both in {0, min(n, m) // 2, min(n, m)}:
+            tokens = rnd.permutation(np.unique(rnd.integers(0, 2**64, n + m + 9, np.uint64)))
+            one, two = tokens[:n], tokens[n - both : n - both + m]
+            a, b = (combos.odd_sketch(np.sort(x))[None] for x in (one, two))
+            width = min(a.shape[1], b.shape[1])
+            apart = int(np.bitwise_count(combos.folded(a, width) ^ combos.folded(b, width)).sum())
+            differ = np.setxor1d(one, two).size
+            assert apart <= differ
+            if both == 0 and n > 30:
+                assert 100 * (n + m - apart) < 85 * (n + m + apart)
+
+
+def test_a_set_is_measured_once_however_many_buckets_it_is_in(spark, monkeypatch):
+    """Sets of frequent lines share many buckets that have little in common with each other."""
+    asked = spark.sparkContext.accumulator(0)
+    measure = combos._sketches
+
+    def counted(settings):
+        def run(batches):
+            for batch in batches:
+                asked.add(batch.num_rows)
+                yield from measure(settings)([batch])
+
+        return run
+
+    monkeypatch.setattr(combos, "_sketches", counted)
+    rows = corpus(3)
+    settings = JoinSettings(rounds=0, alone=2, block=3)
+    assert found(spark, rows, settings) == brute(rows)
+    assert 0 < asked.value <= len({t for _, t in rows})
+
+
 def test_rows_that_share_an_id(spark):
     rnd = random.Random(6)
     a, b = ([f"{c}{rnd.randrange(5000)}" for _ in range(60)] for c in "ab")
