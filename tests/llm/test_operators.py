@@ -296,6 +296,18 @@ def test_language_uses_all_evidence(spark):
     assert {r.lang for r in language.identify(odd, none).collect()} == {None}
 
 
+def test_stretches_lie_where_enough_functions_agree():
+    """Windows are cut to what windows of another function cover; lone ones and short rests go."""
+    import pyarrow as pa
+
+    windows = [(8, 0, 99, 50), (17, 40, 159, 60), (10, 200, 299, 250), (16, 120, 159, 130), (24, 10, 70, 5)]
+    members = [[{"v": v, "lo": lo, "hi": hi, "at": at, "first": 3} for v, lo, hi, at in windows], [{"v": 8, "lo": 0, "hi": 99, "at": 9, "first": 3}]]
+    cover = pa.array([[], []], pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(members), cover], ["id", "members", "cover"])
+    got = next(passages._stretches(passages.PassageSettings())([batch])).to_pylist()
+    assert [(r["v"], r["id"], r["lo"], r["hi"], r["outside"]) for r in got] == [(8, 7, 40, 99, True), (17, 7, 40, 99, True)]
+
+
 def test_quality_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumnRenamed("doc_id", "id")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
