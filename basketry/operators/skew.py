@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Spark's own default limit for a broadcast side, in bytes.
 BROADCAST_BYTES = 10 * 1024 * 1024
@@ -45,6 +45,39 @@ def heavy_keys(
     return counts.filter(F.col("_n") * share > total).select(*on, parts.alias("_parts"), *span)
 
 
+# Buckets that keys are counted in, at least.
+BUCKETS = 1 << 16
+
+
+def bucket_of(df: DataFrame, on: Sequence[str]) -> Column:
+    """The bucket of a row's key. There are many more buckets than shuffle partitions, so few keys
+    share one with a heavy key."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.pmod(F.xxhash64(*on), F.lit(max(BUCKETS, 16 * partitions))).cast("int")
+
+
+def heavy_buckets(df: DataFrame, on: Sequence[str], time: str) -> DataFrame | None:
+    """The buckets that hold more rows than an average shuffle partition, as `_bucket`, with _parts,
+    _lo and _hi as heavy_keys gives them for keys; None if there is none.
+
+    They are counted at once, in one pass over the rows; a task sends a row per bucket at most, and
+    the driver gets fewer rows than there are shuffle partitions.
+    """
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    micros = F.unix_micros(time)
+    counts = df.groupBy(bucket_of(df, on).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi")
+    )
+    # One row per bucket, so a task may hold all of them.
+    total = F.sum("_n").over(Window.partitionBy())
+    parts = F.ceil(F.col("_n") * partitions / F.col("_total")).cast("int")
+    heavy = counts.withColumn("_total", total).filter(F.col("_n") * partitions > F.col("_total"))
+    heavy = heavy.select("_bucket", parts.alias("_parts"), "_lo", "_hi")
+    found = heavy.collect()
+    return spark.createDataFrame(found, heavy.schema) if found else None
+
+
 def _key_side(heavy: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Column]:
     """The heavy keys as a broadcast side, and the condition that a row has such a key."""
     match = F.lit(True)
@@ -80,9 +113,8 @@ def split_heavy(
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of all other keys, and those of the heavy keys with their time slot, _slot.
 
-    `heavy` comes from heavy_keys with the time column. A key gets four slots per part, evenly
-    over its time. With no heavy key the second frame is found empty while the query runs, and
-    its part of the plan is dropped.
+    `heavy` comes from heavy_keys with the time column, or from heavy_buckets. A key gets four
+    slots per part, evenly over its time.
     """
     side, match = _key_side(heavy, on)
     width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / (F.col("_parts") * 4))

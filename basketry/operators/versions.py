@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.operators.ranking import top_k_per_group
-from basketry.operators.skew import fits_broadcast, heavy_keys, skew_join, split_heavy
+from basketry.operators.skew import bucket_of, fits_broadcast, heavy_buckets, heavy_keys, skew_join, split_heavy
 
 
 def scd2(
@@ -17,7 +17,8 @@ def scd2(
     attributes: Sequence[str],
     tie_break: Sequence[str] = (),
     deleted: str = "is_deleted",
-    heavy: DataFrame | None = None,
+    counted: DataFrame | None = None,
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Change rows to versions: attributes, effective_from, effective_to, is_current.
 
@@ -27,23 +28,27 @@ def scd2(
 
     All steps look at neighbours in time, over one shuffle by key. A heavy key would be too
     much for one task, so its rows are cut into time slots, and what a slot must know of the
-    slots around it comes from a table of one row per slot. `heavy` may give the heavy keys and
-    their times, by any columns that tell the keys apart, if those are cheaper to count.
+    slots around it comes from a table of one row per slot. Heavy keys are looked for at once, in
+    one pass over `changes`, or over `counted` if that is cheaper to read: rows with the time and
+    the columns `by`, which `changes` has too and which tell the keys apart.
     """
-    heavy = heavy_keys(changes, keys, time=time) if heavy is None else heavy
-    by = [c for c in heavy.columns if c not in ("_parts", "_lo", "_hi")]
-    extra = [c for c in by if c not in keys]
+    by = keys if by is None else by
+    heavy = heavy_buckets(changes if counted is None else counted, by, time)
     ties = [*tie_break, deleted, *attributes]
     columns = [*keys, time, *dict.fromkeys(ties)]
-    light, hot = split_heavy(changes.select(*columns, *extra), heavy, by, time)
-    # Copies of a heavy key at one instant are dropped where they are read.
-    hot = top_k_per_group(
-        hot.select(*columns, "_slot"), [*keys, time], [F.col(c).desc_nulls_last() for c in ties], 1, "_rn"
-    ).drop("_rn")
-    group = [*keys, "_hot", "_slot"]
-    hot = hot.withColumn("_hot", F.lit(True))
-    light = light.select(*columns).withColumn("_hot", F.lit(False)).withColumn("_slot", F.lit(0).cast("bigint"))
-    rows = light.unionByName(hot)
+    if heavy is None:
+        rows, group = changes.select(*columns), [*keys]
+    else:
+        light, hot = split_heavy(
+            changes.select(*columns, bucket_of(changes, by).alias("_bucket")), heavy, ["_bucket"], time
+        )
+        # Copies of a heavy key at one instant are dropped where they are read.
+        hot = top_k_per_group(
+            hot.select(*columns, "_slot"), [*keys, time], [F.col(c).desc_nulls_last() for c in ties], 1, "_rn"
+        ).drop("_rn")
+        hot = hot.withColumn("_hot", F.lit(True))
+        light = light.select(*columns).withColumn("_hot", F.lit(False)).withColumn("_slot", F.lit(0).cast("bigint"))
+        rows, group = light.unionByName(hot), [*keys, "_hot", "_slot"]
 
     in_order = [F.col(c).asc_nulls_first() for c in (time, *ties)]
     inside = Window.partitionBy(*group).orderBy(*in_order)
@@ -53,7 +58,7 @@ def scd2(
     ).drop("_next")
 
     state = F.struct(F.col(deleted), *[F.col(c) for c in attributes])
-    before = _neighbour(last_of_instant, hot, keys, group, time, in_order, state, forward=False)
+    before = _neighbour(last_of_instant, None if heavy is None else hot, keys, group, time, in_order, state, forward=False)
     gone_before = F.col("_seen").isNull() | F.col(f"_seen.{deleted}")
     same = F.lit(True)
     for c in attributes:
@@ -61,7 +66,7 @@ def scd2(
     changed = F.when(F.col(deleted), ~gone_before).otherwise(gone_before | ~same)
     kept = before.filter(changed).drop("_seen")
 
-    hot_kept = kept.filter("_hot")
+    hot_kept = None if heavy is None else kept.filter("_hot")
     closed = _neighbour(kept, hot_kept, keys, group, time, in_order, F.col(time), forward=True)
     return closed.filter(~F.col(deleted)).select(
         *keys,
@@ -73,14 +78,16 @@ def scd2(
 
 
 def _neighbour(
-    rows: DataFrame, hot: DataFrame, keys: Sequence[str], group: list[str], time: str,
+    rows: DataFrame, hot: DataFrame | None, keys: Sequence[str], group: list[str], time: str,
     in_order: list[Column], value: Column, forward: bool,
 ) -> DataFrame:
-    """Add _seen: `value` of the next or previous row of the key; `hot` are the slotted rows."""
+    """Add _seen: `value` of the next or previous row of the key; `hot` are the slotted rows, if any."""
     shift, pick = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
     # The same sort serves every step, whichever way it looks.
     inside = Window.partitionBy(*group).orderBy(*in_order)
     here = rows.withColumn("_inside", shift(F.struct(value.alias("v"))).over(inside))
+    if hot is None:
+        return here.withColumn("_seen", F.col("_inside")["v"]).drop("_inside")
     edges = hot.groupBy(*group).agg(pick(F.struct(value.alias("v")), F.col(time)).alias("_edge"))
     across = Window.partitionBy(*keys, "_hot").orderBy("_slot")
     edges = edges.withColumn("_across", shift("_edge").over(across)).drop("_edge")

@@ -10,7 +10,6 @@ from pyspark.sql.types import StructType
 from basketry.functions.dates import with_date_parts
 from basketry.functions.scalars import table_of_topic
 from basketry.operators.ranking import latest_per_key
-from basketry.operators.skew import heavy_keys
 from basketry.operators.versions import scd2
 
 # Changes of one key sit in one partition, so these columns order them fully.
@@ -80,8 +79,7 @@ def history(
 
     Heavy keys are counted by the record key, for which no payload has to be parsed.
     """
-    heavy = heavy_keys(_rows_of(silver_rows, table), ["record_key"], time="kafka_timestamp")
     return scd2(
         changes(silver_rows, table, schema), keys, "kafka_timestamp", attributes,
-        ("partition", "offset"), heavy=heavy,
+        ("partition", "offset"), counted=_rows_of(silver_rows, table), by=["record_key"],
     )

@@ -274,3 +274,17 @@ def test_a_key_of_many_versions_and_a_burst_is_cut_evenly(spark):
     total = sum(r["count"] for r in sizes)
     assert len(sizes) >= 4 and max(r["count"] for r in sizes) <= 2.5 * total / len(sizes)
     assert versions._carried(slots[1], bounds, ["k"]).count() < bounds.select(F.explode("_bounds")).count() + 1
+
+
+def test_versions_without_heavy_keys_read_the_changes_once(spark):
+    from basketry.operators.skew import heavy_buckets
+
+    even = spark.range(4000).selectExpr(
+        "id % 1000 as k", "timestamp_seconds(id * 60) as t", "id", "false as is_deleted", "id % 7 as a"
+    )
+    assert heavy_buckets(even, ["k"], "t") is None
+    plan = scd2(even, ["k"], "t", ["a"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range") == 1 and "Join" not in plan
+    hot = even.withColumn("k", F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("k")))
+    found = heavy_buckets(hot, ["k"], "t").collect()
+    assert len(found) == 1 and found[0]["_parts"] == 3 and found[0]["_lo"] == 60_000_000
