@@ -155,3 +155,36 @@ def test_empty_table(spark):
 def test_components_of_the_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     assert found(spark, rows) == brute(rows)
+
+
+def test_texts_are_shipped_for_likely_pairs_only(spark, monkeypatch):
+    """Sets that share a rare shingle and nothing else are told apart by their sketches."""
+    asked = spark.sparkContext.accumulator(0)
+    ship = combos._texts
+
+    def counted(settings):
+        def run(batches):
+            for batch in ship(settings)(batches):
+                asked.add(batch.num_rows)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(combos, "_texts", counted)
+    rnd = random.Random(4)
+    new = lambda i, n: [f"{i}x{rnd.randrange(9000)}" for _ in range(n)]
+    rows = [(i, " ".join(new(i, 60) + [f"p{i // 2}", "q", "r", "s"])) for i in range(40)]
+    rows += [(100, rows[7][1] + " t"), (101, rows[7][1] + " u")]
+    assert found(spark, rows) == brute(rows)
+    assert asked.value == 3
+
+
+def test_a_group_of_copies_makes_few_edges():
+    from basketry.llm import clusters
+
+    rnd = np.random.default_rng(2)
+    parts = [np.sort(rnd.choice(500, 60, replace=False)) for _ in range(400)]
+    entry = np.repeat(np.arange(400), 60)
+    batch = clusters.pa.RecordBatch.from_arrays([clusters.pa.array(entry), clusters.pa.array(np.concatenate(parts))], ["entry", "key"])
+    made = list(clusters._edges(batch.slice(lo, 1000) for lo in range(0, 24_000, 1000)))
+    assert sum(b.num_rows for b in made) == 499
