@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from basketry.llm import combos, words as W
+from basketry.llm import combos, sketch, words as W
 from basketry.llm.combos import JoinSettings
 
 SCHEMA = "doc_id long, text string, entry string, key string, n string, component int"
@@ -188,3 +188,22 @@ def test_a_group_of_copies_makes_few_edges():
     batch = clusters.pa.RecordBatch.from_arrays([clusters.pa.array(entry), clusters.pa.array(np.concatenate(parts))], ["entry", "key"])
     made = list(clusters._edges(batch.slice(lo, 1000) for lo in range(0, 24_000, 1000)))
     assert sum(b.num_rows for b in made) == 499
+
+
+def test_counters_come_to_the_driver_as_bytes_in_parts(spark, monkeypatch):
+    """A small table was put into one part, four bytes a counter, by Spark."""
+    size = 8 * sketch.BLOCK
+    counts = np.random.default_rng(4).integers(0, 256, (2, size)).astype(np.uint8)
+    rows = [(b, bytes(c)) for one in counts for b, c in sketch.block_rows(one)]
+    frame = type(spark.range(0))
+    parts, local = [], frame.toLocalIterator
+
+    def noted(self, *args, **kwargs):
+        parts.append([sum(len(r.counts) for r in part) for part in self.rdd.glom().collect()])
+        return local(self, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "toLocalIterator", noted)
+    table, total = sketch.totals(spark.createDataFrame(rows, sketch.KIND), size, combos.frequency_steps)
+    both = counts.astype(np.int64).sum(axis=0)
+    assert total == both.sum() and bytes(table) == combos.frequency_steps(both).tobytes()
+    assert sum(parts[0]) == size and len(parts[0]) == sketch.PARTS
