@@ -4,10 +4,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import combos, sketch, words as W
 from basketry.llm.combos import JoinSettings
+from basketry.llm.scratch import Scratch
 
 SCHEMA = "doc_id long, text string, entry string, key string, n string, component int"
 DATA = "/root/testdata/sf0.001"
@@ -207,3 +209,38 @@ def test_counters_come_to_the_driver_as_bytes_in_parts(spark, monkeypatch):
     both = counts.astype(np.int64).sum(axis=0)
     assert total == both.sum() and bytes(table) == combos.frequency_steps(both).tobytes()
     assert sum(parts[0]) == size and len(parts[0]) == sketch.PARTS
+
+
+def test_sets_of_unlike_sizes_do_not_meet_and_equal_buckets_are_one(spark, monkeypatch):
+    """Near copies share most of their entries, a short and a long text one by chance."""
+    members = []
+    keep = Scratch.keep
+
+    def noted(self, df):
+        out = keep(self, df)
+        if {"entry", "component"} <= set(out.columns):
+            members.append([(r.entry, r.n) for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", noted)
+    rnd = random.Random(8)
+    new = lambda n: [f"w{rnd.randrange(90000)}" for _ in range(n)]
+    line, base = new(4), new(300)
+    rows = [(1, " ".join(base)), (2, " ".join(base[:299] + new(1))), (3, " ".join(line + new(2))), (4, " ".join(line + new(60)))]
+    assert found(spark, rows) == brute(rows) == [(1, 297, 1), (2, 297, 1), (3, 3, 3), (4, 61, 4)]
+    assert len(members[0]) == 2 and {n for _, n in members[0]} == {297}
+
+
+def test_a_bucket_is_cut_only_where_no_pair_fits():
+    """Sizes that grow by steps stay together; the members of a bucket may lie in several batches."""
+    settings, sizes = JoinSettings(), [100, 117, 130, 152, 180, 181, 181]
+    rows = [(5, k, n) for k, n in enumerate(sizes)] + [(6, 0, 100), (6, 1, 117), (7, 4, 180), (7, 5, 181), (7, 6, 181), (8, 4, 180), (8, 5, 181), (8, 6, 181)]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32()))], ["entry", "key", "n"])
+    for size in (3, 100):
+        got = {}
+        for batch in combos._several(settings)(table.to_batches(max_chunksize=size)):
+            for r in batch.to_pylist():
+                got.setdefault(r["entry"], set()).add((r["key"], r["n"]))
+        assert sorted(map(sorted, got.values())) == [
+            [(0, 100), (1, 117)], [(0, 100), (1, 117), (2, 130), (3, 152)], [(4, 180), (5, 181), (6, 181)],
+        ]
